@@ -1,0 +1,6 @@
+"""Registered queries over the test tables, and the SQL that checks them."""
+
+from .oracles import oracles
+from .queries import registry
+
+__all__ = ["oracles", "registry"]

@@ -63,7 +63,7 @@ def present(df: DataFrame) -> DataFrame:
         if field.name == "created_at":
             continue
         if isinstance(field.dataType, T.DoubleType):
-            col = F.round(col, 6)
+            col = F.round(col.cast("decimal(30,9)"), 6).cast("double")  # exact ties round alike everywhere
         elif isinstance(field.dataType, T.TimestampType):
             col = col.cast("timestamp_ntz")
         out.append(col.alias(field.name))
@@ -299,10 +299,10 @@ def dedup_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legacy_mapping_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events joined to a table with several mappings per id: the ship modes of an order."""
+    """Events joined to a table with several mappings per id: the return flags of an order's lines."""
     configure(spark)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    mappings = lines.select(F.col("l_orderkey").cast("string").alias("event_id"), F.col("l_shipmode").alias("mapping"))
+    mappings = lines.select(F.col("l_orderkey").cast("string").alias("event_id"), F.col("l_returnflag").alias("mapping"))
     events = read_events(spark, sf_dir).select(F.col("event_id").cast("string").alias("event_id"), "user_id")
     return with_mapping(events, mappings)
 
@@ -322,14 +322,18 @@ def table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _flush_stream(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
-    """The adapted table as a stream, each event also once more at the flush time in a campaign of
-    its own, so that the watermark passes the end of every window of the test hour. The flush rows'
-    own windows stay open and are never written."""
+def _flushed_stream(spark: SparkSession, sf_dir: str, side: str, scratch: str) -> DataFrame:
+    """The adapted table as a stream, and with it one event late enough to close every window that
+    holds events of the table. The windows of that event itself stay open and are never written."""
     events = adapt(table_stream(spark, sf_dir), side).drop(*_UNUSED)
-    flush = F.lit(FLUSH).cast("timestamp")
-    copies = events.withColumn("_flush", F.explode(F.array(F.lit(False), F.lit(True))))
-    return evaluate_once(copies.withColumn("timestamp", F.when(F.col("_flush"), flush).otherwise(F.col("timestamp"))).drop("_flush"))
+    texts = {f.name: "flush" for f in events.schema.fields if isinstance(f.dataType, T.StringType)}
+    flush = spark.range(1).select(*[
+        F.lit({**texts, "timestamp": FLUSH, "action": "CLICK"}.get(f.name, 1.0)).cast(f.dataType).alias(f.name)
+        for f in events.schema.fields
+    ])
+    flush.write.parquet(scratch)
+    late = spark.readStream.schema(events.schema).parquet(scratch)
+    return evaluate_once(events).unionByName(late)
 
 
 def _stream_metrics(side: str, size_ms: int, slide_ms: int | None = None) -> Query:
@@ -339,7 +343,7 @@ def _stream_metrics(side: str, size_ms: int, slide_ms: int | None = None) -> Que
         configure(spark)
         out = shared_folder(spark, f"stream-{side}")
         query = metrics_query(
-            _flush_stream(spark, sf_dir, side), side, batch_files(f"{out}/rows"), f"{out}/checkpoint",
+            _flushed_stream(spark, sf_dir, side, f"{out}/flush"), side, batch_files(f"{out}/rows"), f"{out}/checkpoint",
             size_ms=size_ms, slide_ms=slide_ms, as_of=AS_OF, trigger={"availableNow": True},
         )
         query.awaitTermination()
