@@ -75,18 +75,34 @@ def _errors(side: Side, value: Column) -> list[tuple[str, Column]]:
         if name == "action":
             out.append(("action_unknown", ~col.isin(*ACTIONS)))
         elif isinstance(field.dataType, T.TimestampType):
-            out.append((f"{name}_bad", parse_instant(col).isNull()))
+            out.append((f"{name}_bad", F.col(_parsed(name)).isNull()))
         elif isinstance(field.dataType, T.DoubleType):
-            out.append((f"{name}_bad", F.when((col.isNotNull()) & (col != ""), col.try_cast("double").isNull())))
+            out.append((f"{name}_bad", F.when(col.isNotNull() & (col != ""), F.col(_parsed(name)).isNull())))
+    return out
+
+
+def _parsed(name: str) -> str:
+    """Name of the converted text of a timestamp or price, computed once and used for the value and
+    for the error."""
+    return f"_parsed_{name}"
+
+
+def _conversions(side: Side) -> dict[str, Column]:
+    out = {}
+    for field in side.event.fields:
+        if isinstance(field.dataType, T.TimestampType):
+            out[_parsed(field.name)] = parse_instant(F.col(field.name))
+        elif isinstance(field.dataType, T.DoubleType):
+            out[_parsed(field.name)] = F.col(field.name).try_cast("double")
     return out
 
 
 def _typed(field: T.StructField) -> Column:
     col = F.col(field.name)
     if isinstance(field.dataType, T.TimestampType):
-        col = parse_instant(col)
+        col = F.col(_parsed(field.name))
     elif isinstance(field.dataType, T.DoubleType):
-        col = F.coalesce(col.try_cast("double"), F.lit(0.0))
+        col = F.coalesce(F.col(_parsed(field.name)), F.lit(0.0))
     elif field.name in ("ad_slot", "page_url"):
         col = F.coalesce(col, F.lit(""))
     elif isinstance(field.dataType, T.ArrayType):
@@ -105,7 +121,7 @@ def decode_with_errors(messages: DataFrame, side: str | Side, value: str = "valu
     text = F.col(value).cast("string")
     options = {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}
     parsed = F.from_json(text, wire_schema(side), options)
-    rows = messages.select(*messages.columns, F.inline(F.array(parsed)))
+    rows = messages.select(*messages.columns, F.inline(F.array(parsed))).withColumns(_conversions(side))
     error = F.coalesce(*[F.when(broken, F.lit(code)) for code, broken in _errors(side, text)])
     return evaluate_once(
         rows.select(*messages.columns, *[_typed(f) for f in side.event.fields], error.alias("decode_error"))
