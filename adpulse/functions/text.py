@@ -13,16 +13,23 @@ WHITE_SPACE_CODES = (
     0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
-WHITE_SPACE = "".join(chr(code) for code in WHITE_SPACE_CODES)
 
 
-def is_blank(col: Column | str) -> Column:
-    """True when the text is empty or only white space; null counts as blank.
+_WHITE_SPACE_SQL = "".join(f"\\u{code:04x}" for code in WHITE_SPACE_CODES)
+
+
+def blank_sql(text: str) -> str:
+    """SQL condition: the text is empty or only white space; null counts as blank.
 
     Most ids begin with a printable ASCII character, which a comparison of the first byte tells.
     Only the rest is trimmed; a regular expression would decode every string instead.
     """
-    text = F.col(col) if isinstance(col, str) else col
-    return F.when((text >= "!") & (text < "\x7f"), False).otherwise(
-        F.coalesce(F.ltrim(text, F.lit(WHITE_SPACE)) == "", F.lit(True))
+    return (
+        f"CASE WHEN {text} >= '!' AND {text} < '\\u007f' THEN false "
+        f"ELSE coalesce(ltrim('{_WHITE_SPACE_SQL}', {text}) = '', true) END"
     )
+
+
+def is_blank(text: str) -> Column:
+    """:func:`blank_sql` of a column name or SQL expression as a column."""
+    return F.expr(blank_sql(text))

@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import floor_div
 from ..schemas import Side, side_of
 
 BLOCK = 60  # windows per 64-bit word
@@ -81,20 +80,24 @@ def _measures(side: Side, ts: Column, unique: str) -> list[Column]:
 def _covered(events: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     """Step 1: per event the block and the bits of the windows it falls in."""
     size, slide = size_ms * 1000, slide_ms * 1000
-    us = F.unix_micros("timestamp")
-    events = events.filter(F.col("timestamp").isNotNull()).withColumn("_last", floor_div(us, slide))
+
+    def down(value: str, step: int) -> str:  # whole-number division that rounds down also below zero
+        return f"({value} - pmod({value}, {step}L)) div {step}L"
+
+    last = down("unix_micros(timestamp)", slide)
+    events = events.filter("timestamp IS NOT NULL")
     if size == slide:
-        return events.withColumn("_block", floor_div(F.col("_last"), BLOCK)).withColumn(
-            "_bits", F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_last", F.lit(BLOCK)).cast("int"))
+        return events.selectExpr("*", f"{last} AS _last").selectExpr(
+            "*", f"{down('_last', BLOCK)} AS _block", f"shiftleft(1L, int(pmod(_last, {BLOCK}L))) AS _bits"
         )
-    first = floor_div(us - size, slide) + 1
-    blocks = F.sequence(floor_div(F.col("_first"), BLOCK), floor_div(F.col("_last"), BLOCK))
-    low = F.greatest(F.col("_first") - F.col("_block") * BLOCK, F.lit(0))
-    high = F.least(F.col("_last") - F.col("_block") * BLOCK, F.lit(BLOCK - 1))
-    one = F.lit(1).cast("long")
-    width = (high - low + 1).cast("int")
-    bits = F.call_function("shiftleft", F.call_function("shiftleft", one, width) - 1, low.cast("int"))
-    return events.withColumn("_first", first).withColumn("_block", F.explode(blocks)).withColumn("_bits", bits)
+    first = down(f"(unix_micros(timestamp) - {size}L)", slide) + " + 1"
+    low = f"greatest(_first - _block * {BLOCK}, 0L)"
+    high = f"least(_last - _block * {BLOCK}, {BLOCK - 1}L)"
+    return (
+        events.selectExpr("*", f"{first} AS _first", f"{last} AS _last")
+        .selectExpr("*", f"explode(sequence({down('_first', BLOCK)}, {down('_last', BLOCK)})) AS _block")
+        .selectExpr("*", f"shiftleft(shiftleft(1L, int({high} - {low} + 1)) - 1L, int({low})) AS _bits")
+    )
 
 
 def _batch_partials(
@@ -113,11 +116,11 @@ def _batch_partials(
         )
     else:
         grouped = covered.groupBy(*by_dims).agg(*measures, F.lit(False).alias("is_user")).withColumn("user_id", F.lit(None))
-    offsets = F.explode(F.array(*[F.lit(i) for i in range(BLOCK)]))
+    offsets = ", ".join(str(i) for i in range(BLOCK))
     return (
-        grouped.withColumn("_offset", offsets)
-        .filter(F.call_function("getbit", F.col("_windows"), F.col("_offset")) == 1)
-        .withColumn("window_start", (F.col("_block") * BLOCK + F.col("_offset")) * (slide_ms * 1000))
+        grouped.selectExpr("*", f"explode(array({offsets})) AS _offset")
+        .filter("getbit(_windows, _offset) = 1")
+        .withColumn("window_start", F.expr(f"(_block * {BLOCK} + _offset) * {slide_ms * 1000}L"))
     )
 
 
@@ -156,103 +159,106 @@ def window_state(
 def _totals(partials: DataFrame, side: Side, grain: str, unique: str) -> DataFrame:
     """Step 3: add up per window and key."""
     keys, dims = ["window_start", *_keys(side, grain)], ["window_start", *_dims(side)]
-    measured = ~F.col("is_user")
-    users = [F.count_if(F.col("is_user") & F.col("user_id").isNotNull()).alias("users")]
-    if unique == "approx":
-        users = [F.hll_union_agg("users_sketch").alias("users_sketch")]
     # per dimension first: numeric buffers only, so this large step is a hash aggregation
     per_dim = partials.groupBy(*dims).agg(
-        F.sum(F.when(measured, F.col("n")).otherwise(0)).alias("n"),
-        *[F.sum(F.when(measured, F.col(f"sum_{c}"))).alias(f"sum_{c}") for c in side.price_columns],
-        F.min(F.when(measured, F.col("first_ts"))).alias("first_ts"),
-        *users,
+        F.expr("sum(CASE WHEN is_user THEN 0 ELSE n END) AS n"),
+        *[F.expr(f"sum(CASE WHEN NOT is_user THEN sum_{c} END) AS sum_{c}") for c in side.price_columns],
+        F.expr("min(CASE WHEN NOT is_user THEN first_ts END) AS first_ts"),
+        F.expr(
+            "hll_union_agg(users_sketch) AS users_sketch" if unique == "approx"
+            else "count_if(is_user AND user_id IS NOT NULL) AS users"
+        ),
     )
-    aggs = [F.sum("n").alias("event_count")]
+    aggs = ["sum(n) AS event_count"]
     for name, actions in side.counters.items():
-        aggs.append(F.sum(F.when(F.col("action").isin(*actions), F.col("n")).otherwise(0)).alias(name))
+        aggs.append(f"sum(CASE WHEN action IN {_in(actions)} THEN n ELSE 0 END) AS {name}")
     for name, money in side.money.items():
-        amount = F.col(f"sum_{money.column}")
+        amount = f"sum_{money.column}"
         if money.actions is not None:
-            amount = F.when(F.col("action").isin(*money.actions), amount)
-        aggs.append(F.coalesce(F.sum(amount), F.lit(0.0)).alias(name))
+            amount = f"CASE WHEN action IN {_in(money.actions)} THEN {amount} END"
+        aggs.append(f"coalesce(sum({amount}), 0D) AS {name}")
     if side.first_seen:
-        seen = F.struct("first_ts", *side.first_seen)
-        aggs.append(F.min(F.when(F.col("first_ts").isNotNull(), seen)).alias("seen"))
-    if unique == "approx":
-        aggs.append(F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("unique_users"))
-    else:
-        aggs.append(F.sum("users").alias("unique_users"))
-    totals = per_dim.groupBy(*keys).agg(*aggs)
-    if side.first_seen:
-        totals = totals.select("*", *[F.col(f"seen.{c}").alias(c) for c in side.first_seen]).drop("seen")
-    return totals
+        aggs.append(f"min(CASE WHEN first_ts IS NOT NULL THEN struct(first_ts, {', '.join(side.first_seen)}) END) AS seen")
+    aggs.append(
+        "hll_sketch_estimate(hll_union_agg(users_sketch)) AS unique_users" if unique == "approx"
+        else "sum(users) AS unique_users"
+    )
+    totals = per_dim.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+    return totals.selectExpr("*", *[f"seen.{c} AS {c}" for c in side.first_seen])
+
 
+def _in(actions: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{a}'" for a in actions) + ")"
 
-def ratio(numerator: Column | str, denominator: Column | str) -> Column:
+
+def ratio_sql(numerator: str, denominator: str) -> str:
     """The quotient as a double, 0.0 when the denominator is not positive."""
-    n = F.col(numerator) if isinstance(numerator, str) else numerator
-    d = F.col(denominator) if isinstance(denominator, str) else denominator
-    return F.when(d > 0, n.cast("double") / d.cast("double")).otherwise(F.lit(0.0))
+    return f"CASE WHEN {denominator} > 0 THEN double({numerator}) / double({denominator}) ELSE 0D END"
+
+
+def ratio(numerator: str, denominator: str) -> Column:
+    """:func:`ratio_sql` as a column."""
+    return F.expr(ratio_sql(numerator, denominator))
+
+
+# derived columns of every metric row: name -> (numerator, denominator)
+BASE_RATIOS = {
+    "click_through_rate": ("clicks", "impressions"),
+    "conversion_rate": ("conversions", "clicks"),
+    "cost_per_click": ("total_spend", "clicks"),
+    "cost_per_conversion": ("total_spend", "conversions"),
+}
 
 
 def base_ratios() -> dict[str, Column]:
     """Click-through rate, conversion rate and cost per click and per conversion."""
-    return {
-        "click_through_rate": ratio("clicks", "impressions"),
-        "conversion_rate": ratio("conversions", "clicks"),
-        "cost_per_click": ratio("total_spend", "clicks"),
-        "cost_per_conversion": ratio("total_spend", "conversions"),
-    }
-
-
-def _side_columns(side: Side) -> list[Column]:
-    if side.name == "ssp":
-        return [
-            F.col("publisher_id"), F.col("ad_requests"), F.col("ad_responses"),
-            # a render counts as a response, so this can exceed 1 at campaign grain
-            ratio("ad_responses", "ad_requests").alias("fill_rate"),
-            ratio("views", "impressions").alias("viewability_rate"),
-            ratio("floor_price_sum", "event_count").alias("avg_floor_price"),
-            ratio("winning_bid_sum", "event_count").alias("avg_winning_bid"),
-        ]
-    return [
-        F.col("bid_requests"), F.col("bid_responses"), F.col("bid_wins"), F.col("bid_losses"), F.col("bid_timeouts"),
-        ratio("bid_wins", "bid_requests").alias("win_rate"),
-        ratio("bid_price_sum", "bid_responses").alias("avg_bid_price"),
-        ratio("clearing_price_sum", "bid_wins").alias("avg_clearing_price"),
-        F.col("clearing_price_sum").alias("total_budget_spent"),
-    ]
+    return {name: ratio(*parts) for name, parts in BASE_RATIOS.items()}
+
+
+# further columns per side: name -> (numerator, denominator), or None for a total as it is.
+# An ad render counts as a response, so fill_rate can exceed 1 at campaign grain.
+_OWN_COLUMNS = {
+    "ssp": {
+        "publisher_id": None, "ad_requests": None, "ad_responses": None,
+        "fill_rate": ("ad_responses", "ad_requests"),
+        "viewability_rate": ("views", "impressions"),
+        "avg_floor_price": ("floor_price_sum", "event_count"),
+        "avg_winning_bid": ("winning_bid_sum", "event_count"),
+    },
+    "dsp": {
+        "bid_requests": None, "bid_responses": None, "bid_wins": None, "bid_losses": None, "bid_timeouts": None,
+        "win_rate": ("bid_wins", "bid_requests"),
+        "avg_bid_price": ("bid_price_sum", "bid_responses"),
+        "avg_clearing_price": ("clearing_price_sum", "bid_wins"),
+        "total_budget_spent": None,
+    },
+}
 
 
 def _record(
     totals: DataFrame, side: Side, size_ms: int, slide_ms: int, grain: str, labels: str, budget_exhausted: bool
 ) -> DataFrame:
-    """Lay totals out as a flat metric row."""
-    zero = {"views": F.lit(0).cast("long"), "total_revenue": F.lit(0.0), "total_spend": F.lit(0.0)}
-    for name, value in zero.items():
-        if name not in totals.columns:
-            totals = totals.withColumn(name, value)
+    """Lay totals out as a flat metric row. What a side does not keep is zero."""
+    totals = totals.withColumns({
+        name: F.expr(value)
+        for name, value in {"views": "0L", "total_revenue": "0D", "total_spend": "0D"}.items()
+        if name not in side.counters and name not in side.money
+    })
+    start, end = "timestamp_micros(window_start)", f"timestamp_micros(window_start + {size_ms * 1000})"
     columns = [
-        F.timestamp_micros("window_start").alias("window_start"),
-        F.timestamp_micros(F.col("window_start") + size_ms * 1000).alias("window_end"),
-        F.lit(window_label(size_ms, slide_ms, labels)).alias("window_type"),
+        f"{start} AS window_start", f"{end} AS window_end",
+        f"'{window_label(size_ms, slide_ms, labels)}' AS window_type",
         # whole seconds of the end minus whole seconds of the start
-        (F.unix_seconds(F.timestamp_micros(F.col("window_start") + size_ms * 1000))
-         - F.unix_seconds(F.timestamp_micros("window_start"))).alias("duration_seconds"),
-        F.col("campaign_id"), F.col("advertiser_id"),
-    ]
-    if grain == "action":
-        columns.append(F.col("action"))
-    columns += [F.col(c) for c in (
+        f"unix_seconds({end}) - unix_seconds({start}) AS duration_seconds",
+        "campaign_id", "advertiser_id", *(["action"] if grain == "action" else []),
         "impressions", "clicks", "conversions", "views",
         "total_revenue", "total_spend", "unique_users", "event_count",
-    )]
-    columns += [c.alias(name) for name, c in base_ratios().items()]
-    columns += _side_columns(side)
+    ]
+    for name, parts in {**BASE_RATIOS, **_OWN_COLUMNS[side.name]}.items():
+        columns.append(name if parts is None else f"{ratio_sql(*parts)} AS {name}")
     if budget_exhausted and "budget_exhausted" in side.counters:
-        columns.append(F.col("budget_exhausted"))
-    columns.append(F.current_timestamp().alias("created_at"))
-    return totals.select(*columns)
+        columns.append("budget_exhausted")
+    return totals.selectExpr(*columns, "current_timestamp() AS created_at")
 
 
 def finish(
@@ -291,21 +297,20 @@ def window_updates(
     if unique != "approx":
         raise ValueError('update mode needs unique="approx"')
     window = F.window("timestamp", f"{size_ms} milliseconds", f"{slide_ms} milliseconds").alias("_window")
-    aggs = [F.count(F.lit(1)).alias("event_count")]
+    aggs = ["count(1) AS event_count"]
     for name, actions in side.counters.items():
-        aggs.append(F.count_if(F.col("action").isin(*actions)).alias(name))
+        aggs.append(f"count_if(action IN {_in(actions)}) AS {name}")
     for name, money in side.money.items():
-        amount = F.col(money.column)
+        amount = money.column
         if money.actions is not None:
-            amount = F.when(F.col("action").isin(*money.actions), amount)
-        aggs.append(F.coalesce(F.sum(amount), F.lit(0.0)).alias(name))
+            amount = f"CASE WHEN action IN {_in(money.actions)} THEN {amount} END"
+        aggs.append(f"coalesce(sum({amount}), 0D) AS {name}")
     if side.first_seen:
-        aggs.append(F.min(F.struct("timestamp", *side.first_seen)).alias("seen"))
-    aggs.append(F.hll_sketch_estimate(F.hll_sketch_agg("user_id")).alias("unique_users"))
-    totals = events.groupBy(window, *_keys(side, grain)).agg(*aggs)
-    totals = totals.withColumn("window_start", F.unix_micros("_window.start"))
-    for name in side.first_seen:
-        totals = totals.withColumn(name, F.col(f"seen.{name}"))
+        aggs.append(f"min(struct(timestamp, {', '.join(side.first_seen)})) AS seen")
+    aggs.append("hll_sketch_estimate(hll_sketch_agg(user_id)) AS unique_users")
+    totals = events.groupBy(window, *_keys(side, grain)).agg(*[F.expr(a) for a in aggs]).selectExpr(
+        "*", "unix_micros(_window.start) AS window_start", *[f"seen.{c} AS {c}" for c in side.first_seen]
+    )
     return _record(totals, side, size_ms, slide_ms, grain, labels, False)
 
 

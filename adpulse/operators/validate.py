@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_action_of, is_blank
+from ..functions.text import blank_sql
 from ..schemas import MAX_AGE_HOURS, MAX_FUTURE_MINUTES, REQUIRED_COMMON, Side, side_of
 
 
@@ -23,49 +23,52 @@ def _instant(as_of: Column | datetime | str | None) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def _rules(side: Side, now: Column) -> list[tuple[str, Column, Column]]:
-    """(code, condition, message) in checking order."""
-    ts = F.col("timestamp")
+_NOW = "_as_of"
 
-    def blank(name: str) -> tuple[str, Column, Column]:
-        return (f"{name}_blank", is_blank(name), F.lit(f"{name} is blank"))
 
-    age_hours = F.timestamp_diff("HOUR", ts, now)
+def _names(names: tuple[str, ...]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
+
+
+def _rules(side: Side) -> list[tuple[str, str, str]]:
+    """(code, condition, message) as SQL in checking order."""
+
+    def blank(name: str) -> tuple[str, str, str]:
+        return (f"{name}_blank", blank_sql(name), f"'{name} is blank'")
+
     rules = [blank(name) for name in REQUIRED_COMMON]
     rules.append((
         "too_old",
-        ts.isNull() | (ts < now - F.expr(f"INTERVAL {MAX_AGE_HOURS} HOURS")),
-        F.concat(F.lit("event is older than "), F.lit(MAX_AGE_HOURS), F.lit(" h: "), age_hours, F.lit(" h")),
+        f"timestamp IS NULL OR timestamp < {_NOW} - INTERVAL {MAX_AGE_HOURS} HOURS",
+        f"concat('event is older than {MAX_AGE_HOURS} h: ', timestampdiff(HOUR, timestamp, {_NOW}), ' h')",
     ))
     rules.append((
         "in_future",
-        ts > now + F.expr(f"INTERVAL {MAX_FUTURE_MINUTES} MINUTES"),
-        F.concat(F.lit("event is too far in the future: "), ts.cast("string")),
+        f"timestamp > {_NOW} + INTERVAL {MAX_FUTURE_MINUTES} MINUTES",
+        "concat('event is too far in the future: ', timestamp)",
     ))
     rules += [blank(name) for name in side.required]
     rules.append((
         "action_not_allowed",
-        ~is_action_of(side),
-        F.concat(F.lit(f"not a {side.name} action: "), F.coalesce("action", F.lit("null"))),
+        f"action IS NULL OR action NOT IN ({_names(side.actions)})",
+        f"concat('not a {side.name} action: ', coalesce(action, 'null'))",
     ))
     for rule in side.prices:
-        price = F.col(rule.column)
-        rules.append((
-            f"{rule.column}_negative", price < 0,
-            F.concat(F.lit(f"{rule.column} is negative: "), price.cast("string")),
-        ))
+        price = rule.column
+        rules.append((f"{price}_negative", f"{price} < 0", f"concat('{price} is negative: ', {price})"))
         if rule.maximum is not None:
             # Spark orders NaN above every number; a NaN price is accepted, so it is let through
             rules.append((
-                f"{rule.column}_above_max", (price > rule.maximum) & ~F.isnan(price),
-                F.concat(F.lit(f"{rule.column} is above {rule.maximum}: "), price.cast("string")),
+                f"{price}_above_max",
+                f"{price} > {rule.maximum}D AND NOT isnan({price})",
+                f"concat('{price} is above {rule.maximum}: ', {price})",
             ))
     return rules
 
 
 def reject_codes(side: str | Side) -> list[str]:
     """All reject codes of a side, in checking order."""
-    return [code for code, _, _ in _rules(side_of(side), F.current_timestamp())]
+    return [code for code, _, _ in _rules(side_of(side))]
 
 
 def validate(
@@ -83,14 +86,14 @@ def validate(
     tables, or the broker's ingest time column for streams, so that queries reading the same topic
     independently judge an event alike.
     """
-    rules = _rules(side_of(side), _instant(as_of))
-    code = F.coalesce(*[F.when(broken, F.lit(c)) for c, broken, _ in rules])
-    out = events.withColumn("reject_code", code)
+    rules = _rules(side_of(side))
+    code = " ".join(f"WHEN {broken} THEN '{code}'" for code, broken, _ in rules)
+    out = events.withColumn(_NOW, _instant(as_of)).withColumn("reject_code", F.expr(f"CASE {code} END"))
     if reasons:
         # chosen by code, so that the message is only built for rejected rows
-        reason = F.coalesce(*[F.when(F.col("reject_code") == c, message) for c, _, message in rules])
-        out = out.withColumn("reject_reason", F.when(F.col("reject_code").isNotNull(), reason))
-    return out
+        reason = " ".join(f"WHEN '{code}' THEN {message}" for code, _, message in rules)
+        out = out.withColumn("reject_reason", F.expr(f"CASE reject_code {reason} END"))
+    return out.drop(_NOW)
 
 
 def valid(annotated: DataFrame) -> DataFrame:

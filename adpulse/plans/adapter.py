@@ -7,10 +7,8 @@ one-minute windows hold several rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.time import floor_div
 from ..schemas import Side, side_of
 
 AS_OF = "2024-01-01 01:00:00"  # the "now" of the validation rules
@@ -18,14 +16,6 @@ BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
 SQUEEZE = 720
 
 
-def _every(m: int) -> Column:
-    return F.col("event_id") % m == 0
-
-
-def _id(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -34,37 +24,39 @@ def adapt(events: DataFrame, side: str | Side) -> DataFrame:
     """Project the table (or a stream of it) to the event schema of a side."""
     side = side_of(side)
     ssp = side.name == "ssp"
-    eid, uid, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    squeezed = F.lit(BASE_MICROS) + floor_div(micros - BASE_MICROS, SQUEEZE)
+
+    def unless(otherwise: str, *cases: tuple[int, str]) -> str:
+        whens = " ".join(f"WHEN event_id % {m} = 0 THEN {value}" for m, value in cases)
+        return f"CASE {whens} ELSE {otherwise} END"
+
     hour = 3_600_000_000
-    shifted = F.when(_every(103), squeezed - 25 * hour).when(_every(107), squeezed + 2 * hour).otherwise(squeezed)
-    foreign = "BID_WIN" if ssp else "AD_RENDER"
-    action = F.element_at(F.array(*[F.lit(a) for a in side.actions]), (eid % 9 + 1).cast("int"))
+    micros = f"(unix_micros(cast(ts AS timestamp)) - {BASE_MICROS})"
+    squeezed = f"{BASE_MICROS} + {micros} div {SQUEEZE}"
+    actions = ", ".join(f"'{a}'" for a in side.actions)
     columns = {
-        "event_id": F.when(_every(101), F.lit("")).otherwise(eid.cast("string")),
-        "timestamp": F.timestamp_micros(shifted),
-        "ad_id": F.when(_every(149), F.lit("")).otherwise(_id("ad-", uid % 20)),
-        "campaign_id": F.when(_every(109), F.lit("  ")).otherwise(_id("camp-", uid % 5)),
-        "creative_id": F.when(_every(151), F.lit("")).otherwise(_id("cr-", uid % 7)),
-        "advertiser_id": F.when(_every(157), F.lit("")).otherwise(_id("adv-", floor_div(eid, 9) % 3)),
-        "user_id": F.when(_every(163), F.lit("")).otherwise(_id("user-", uid)),
-        "action": F.when(_every(127), F.lit(foreign)).otherwise(action),
-        "metadata": F.create_map(F.lit("k"), F.get_json_object("props", "$.k")),
+        "event_id": unless("string(event_id)", (101, "''")),
+        "timestamp": f"timestamp_micros({unless(squeezed, (103, f'{squeezed} - 25 * {hour}'), (107, f'{squeezed} + 2 * {hour}'))})",
+        "ad_id": unless("concat('ad-', user_id % 20)", (149, "''")),
+        "campaign_id": unless("concat('camp-', user_id % 5)", (109, "'  '")),
+        "creative_id": unless("concat('cr-', user_id % 7)", (151, "''")),
+        "advertiser_id": unless("concat('adv-', (event_id div 9) % 3)", (157, "''")),
+        "user_id": unless("concat('user-', user_id)", (163, "''")),
+        "action": unless(f"element_at(array({actions}), int(event_id % 9 + 1))", (127, "'BID_WIN'" if ssp else "'AD_RENDER'")),
+        "metadata": "map('k', get_json_object(props, '$.k'))",
     }
     if ssp:
         columns |= {
-            "publisher_id": F.when(_every(113), F.lit("")).otherwise(_id("pub-", floor_div(eid, 27) % 4)),
-            "floor_price": F.when(_every(131), -value).otherwise(value * 3),
-            "winning_bid": F.when(_every(137), -value).otherwise(value),
-            "ad_slot": _id("slot-", uid % 3),
-            "page_url": _id("/p/", uid % 11),
+            "publisher_id": unless("concat('pub-', (event_id div 27) % 4)", (113, "''")),
+            "floor_price": unless("value * 3", (131, "-value")),
+            "winning_bid": unless("value", (137, "-value")),
+            "ad_slot": "concat('slot-', user_id % 3)",
+            "page_url": "concat('/p/', user_id % 11)",
         }
     else:
         columns |= {
-            "bid_price": F.when(_every(131), -value).otherwise(value * 6),
-            "clearing_price": F.when(_every(137), -value).otherwise(value),
-            "budget_remaining": F.when(_every(139), -value).otherwise(F.lit(500.0) - value),
-            "targeting_segments": F.array("event_type"),
+            "bid_price": unless("value * 6", (131, "-value")),
+            "clearing_price": unless("value", (137, "-value")),
+            "budget_remaining": unless("500 - value", (139, "-value")),
+            "targeting_segments": "array(event_type)",
         }
-    return events.select(*[columns[f.name].alias(f.name) for f in side.event.fields])
+    return events.selectExpr(*[f"{columns[f.name]} AS {f.name}" for f in side.event.fields])

@@ -59,15 +59,17 @@ def present(df: DataFrame) -> DataFrame:
     """Round doubles, drop zones, leave out the creation time."""
     out = []
     for field in df.schema.fields:
-        col = F.col(field.name)
+        name = f"`{field.name}`"
         if field.name == "created_at":
             continue
         if isinstance(field.dataType, T.DoubleType):
-            col = F.round(col.cast("decimal(30,9)"), 6).cast("double")  # exact ties round alike everywhere
+            # through decimals, so that exact ties round alike everywhere
+            out.append(f"double(round(cast({name} AS decimal(30, 9)), 6)) AS {name}")
         elif isinstance(field.dataType, T.TimestampType):
-            col = col.cast("timestamp_ntz")
-        out.append(col.alias(field.name))
-    return df.select(*out)
+            out.append(f"cast({name} AS timestamp_ntz) AS {name}")
+        else:
+            out.append(name)
+    return df.selectExpr(*out)
 
 
 def _windowed(side: str, size_ms: int, slide_ms: int | None = None, **options: object) -> Query:

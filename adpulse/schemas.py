@@ -172,6 +172,7 @@ DSP = Side(
         "total_spend": Money("clearing_price", ("IMPRESSION",)),
         "bid_price_sum": Money("bid_price", ("BID_RESPONSE",)),
         "clearing_price_sum": Money("clearing_price", ("BID_WIN",)),
+        "total_budget_spent": Money("clearing_price", ("BID_WIN",)),
     },
 )
 

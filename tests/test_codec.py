@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime
+
+import pytest
+
+from adpulse.operators import windowed_metrics
+from adpulse.sources import (
+    decode,
+    decode_mixed,
+    decode_with_errors,
+    encode_base_metrics,
+    encode_events,
+    encode_metrics,
+    observe_decode,
+)
+from tests.build import events
+
+WIRE = {
+    "ssp": {
+        "event_id": "e1", "timestamp": "2024-03-15T10:00:00Z", "ad_id": "a", "campaign_id": "c", "creative_id": "cr",
+        "publisher_id": "p", "advertiser_id": "adv", "user_id": "u", "action": "IMPRESSION",
+        "floor_price": 1.5, "winning_bid": 2.0, "ad_slot": "top", "page_url": "/x", "metadata": {"a": "b"},
+    },
+    "dsp": {
+        "event_id": "e1", "timestamp": "2024-03-15T10:00:00Z", "ad_id": "a", "campaign_id": "c", "creative_id": "cr",
+        "advertiser_id": "adv", "user_id": "u", "action": "BID_WIN", "bid_price": 2.5, "clearing_price": 2.0,
+        "budget_remaining": 10, "targeting_segments": ["s"], "metadata": {},
+    },
+}
+GONE = object()
+
+
+def wire(side: str, **changes) -> str:
+    message = {**WIRE[side], **changes}
+    return json.dumps({k: v for k, v in message.items() if v is not GONE})
+
+
+def messages(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def decoded(spark, side, text):
+    rows = decode(messages(spark, text), side).collect()
+    return rows[0].asDict() if rows else None
+
+
+@pytest.mark.parametrize("side, changes, field, value", [
+    ("ssp", {}, "winning_bid", 2.0),
+    ("ssp", {"winning_bid": "2.5"}, "winning_bid", 2.5),
+    ("ssp", {"winning_bid": None}, "winning_bid", 0.0),
+    ("ssp", {"winning_bid": GONE}, "winning_bid", 0.0),
+    ("ssp", {"winning_bid": ""}, "winning_bid", 0.0),
+    ("ssp", {"ad_slot": GONE}, "ad_slot", ""),
+    ("ssp", {"ad_slot": 7}, "ad_slot", "7"),
+    ("ssp", {"ad_slot": "{not json}"}, "ad_slot", "{not json}"),
+    ("ssp", {"ad_slot": "[x"}, "ad_slot", "[x"),
+    ("ssp", {"page_url": GONE}, "page_url", ""),
+    ("ssp", {"metadata": GONE}, "metadata", {}),
+    ("ssp", {"metadata": {"n": 1, "s": "{x}", "z": None}}, "metadata", {"n": "1", "s": "{x}", "z": None}),
+    ("ssp", {"surprise": {"deep": [1]}}, "event_id", "e1"),
+    ("dsp", {"targeting_segments": GONE}, "targeting_segments", []),
+    ("dsp", {"targeting_segments": ["[a", "b"]}, "targeting_segments", ["[a", "b"]),
+    ("dsp", {"targeting_segments": []}, "targeting_segments", []),
+    ("dsp", {"budget_remaining": 10}, "budget_remaining", 10.0),
+    ("ssp", {"timestamp": 1710496800}, "timestamp", datetime(2024, 3, 15, 10)),
+    ("ssp", {"timestamp": 1710496800.25}, "timestamp", datetime(2024, 3, 15, 10, 0, 0, 250_000)),
+    ("ssp", {"timestamp": "1710496800"}, "timestamp", datetime(2024, 3, 15, 10)),
+    ("ssp", {"timestamp": "2024-03-15T10:00:00.123456789Z"}, "timestamp", datetime(2024, 3, 15, 10, 0, 0, 123_456)),
+    ("ssp", {"timestamp": "2024-03-15T10:00:00+00:00"}, "timestamp", datetime(2024, 3, 15, 10)),
+    ("ssp", {"action": "VIEW"}, "action", "VIEW"),
+    ("ssp", {"action": "BID_WIN"}, "action", "BID_WIN"),  # wrong side is for validation to reject
+])
+def test_accepted(spark, side, changes, field, value):
+    assert decoded(spark, side, wire(side, **changes))[field] == value
+
+
+@pytest.mark.parametrize("side, text, error", [
+    ("ssp", "not json", "malformed"), ("ssp", '{"event_id": "e1"', "malformed"), ("ssp", "[1]", "malformed"),
+    ("ssp", "", "event_id_missing"), ("ssp", "null", "malformed"), ("ssp", "{}", "event_id_missing"),
+    ("ssp", wire("ssp", user_id=GONE), "user_id_missing"), ("ssp", wire("ssp", user_id=None), "user_id_missing"),
+    ("ssp", wire("ssp", publisher_id=GONE), "publisher_id_missing"),
+    ("ssp", wire("ssp", ad_slot=None), "ad_slot_null"), ("ssp", wire("ssp", page_url=None), "page_url_null"),
+    ("ssp", wire("ssp", metadata=None), "metadata_null"),
+    ("dsp", wire("dsp", targeting_segments=None), "targeting_segments_null"),
+    ("dsp", wire("dsp", targeting_segments="s"), "malformed"), ("ssp", wire("ssp", metadata="s"), "malformed"),
+    ("ssp", wire("ssp", action="impression"), "action_unknown"), ("ssp", wire("ssp", action="OTHER"), "action_unknown"),
+    ("ssp", wire("ssp", action=0), "action_unknown"),
+    ("ssp", wire("ssp", winning_bid="low"), "winning_bid_bad"), ("ssp", wire("ssp", winning_bid=True), "winning_bid_bad"),
+    ("ssp", wire("ssp", winning_bid={"v": 1}), "winning_bid_bad"),
+    ("ssp", wire("ssp", timestamp="2024-03-15"), "timestamp_bad"),
+    ("ssp", wire("ssp", timestamp="2024-03-15T10:00:00"), "timestamp_bad"),
+    ("ssp", wire("ssp", timestamp="2024-13-15T10:00:00Z"), "timestamp_bad"),
+    ("ssp", wire("ssp", timestamp="yesterday"), "timestamp_bad"),
+    ("ssp", wire("ssp", timestamp=GONE), "timestamp_missing"),
+    ("ssp", wire("ssp", ad_slot={"a": 1}), "ad_slot_nested"), ("ssp", wire("ssp", campaign_id=["c"]), "campaign_id_nested"),
+    ("ssp", wire("ssp", metadata={"a": {"b": 1}}), "metadata_nested"),
+    ("ssp", wire("ssp", metadata={"a": [1], "b": "x"}), "metadata_nested"),
+    ("dsp", wire("dsp", targeting_segments=[{"a": 1}]), "targeting_segments_nested"),
+    ("ssp", wire("ssp").replace("1.5", "NaN"), "malformed"),
+])
+def test_dropped(spark, side, text, error):
+    assert decoded(spark, side, text) is None
+    assert decode_with_errors(messages(spark, text), side).first()["decode_error"] == error
+
+
+def test_failures_keep_the_message_and_are_counted(spark):
+    from pyspark.sql import Observation
+
+    observation = Observation("decoding")
+    rows = decode_with_errors(messages(spark, wire("ssp"), "junk"), "ssp")
+    observe_decode(rows, observation).write.format("noop").mode("overwrite").save()
+    assert observation.get == {"messages": 2, "dropped": 1}
+    assert rows.filter("decode_error IS NOT NULL").first()["value"] == "junk"
+
+
+def test_binary_values_and_other_columns(spark):
+    df = spark.createDataFrame([(bytearray(wire("dsp").encode()), 5)], "value binary, offset long")
+    row = decode(df, "dsp").first()
+    assert row["offset"] == 5 and row["bid_price"] == 2.5 and "value" not in row.asDict()
+
+
+def test_mixed_topic(spark):
+    texts = [
+        wire("ssp", event_type="ssp", event_id="s"), wire("dsp", event_type="DSP", event_id="d"),
+        wire("ssp", event_type="web"), wire("ssp"), "junk",
+    ]
+    parts = decode_mixed(messages(spark, *texts))
+    assert [r.event_id for r in parts["ssp"].collect()] == ["s"]
+    assert [r.event_id for r in parts["dsp"].collect()] == ["d"]
+
+
+@pytest.mark.parametrize("side", ["ssp", "dsp"])
+def test_events_round_trip(spark, side):
+    df = events(spark, side, {}, {"event_id": 'quote " and \\', "metadata": {"x": "y"}})
+    back = decode(encode_events(df, side), side)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert json.loads(encode_events(df, side).first()["value"])["timestamp"] == "2024-03-15T09:59:30Z"
+
+
+def test_metrics_json(spark):
+    metrics = windowed_metrics(events(spark, "ssp", {}), "ssp")
+    record = json.loads(encode_metrics(metrics).first()["value"])
+    base = record["base"]
+    assert base["window"] == {
+        "window_start": "2024-03-15T09:59:00Z", "window_end": "2024-03-15T10:00:00Z",
+        "window_type": "TUMBLING_1MIN", "durationSeconds": 60,
+    }
+    assert base["campaign_id"] == "c1" and base["unique_users"] == 1 and base["clickThroughRate"] == 0.0
+    assert set(base) == {
+        "window", "campaign_id", "advertiser_id", "action", "impressions", "clicks", "conversions", "views",
+        "total_revenue", "total_spend", "unique_users", "event_count", "created_at",
+        "clickThroughRate", "conversionRate", "costPerClick", "costPerConversion",
+    }
+    assert set(record) == {
+        "base", "publisher_id", "ad_requests", "ad_responses", "fill_rate", "viewability_rate",
+        "avg_floor_price", "avg_winning_bid",
+    }
+    assert json.loads(encode_base_metrics(metrics).first()["value"])["window"] == base["window"]
+    demand = json.loads(encode_metrics(windowed_metrics(events(spark, "dsp", {}), "dsp")).first()["value"])
+    assert set(demand) == {
+        "base", "bid_requests", "bid_responses", "bid_wins", "bid_losses", "bid_timeouts", "win_rate",
+        "avg_bid_price", "avg_clearing_price", "total_budget_spent",
+    }

@@ -1,0 +1,167 @@
+from __future__ import annotations
+
+import itertools
+import random
+from collections import defaultdict
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from adpulse.operators import window_label, windowed_metrics
+from adpulse.plans.queries import good_events
+from tests.build import NOW, at, events
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def one(df):
+    (row,) = rows(df)
+    return row
+
+
+def test_impressions_carry_revenue(spark):
+    row = one(windowed_metrics(events(spark, "ssp", {"winning_bid": 2.5}), "ssp"))
+    assert (row["impressions"], row["total_revenue"], row["total_spend"], row["event_count"]) == (1, 2.5, 0.0, 1)
+    assert row["window_type"] == "TUMBLING_1MIN" and row["duration_seconds"] == 60
+    assert row["window_end"] - row["window_start"] == timedelta(minutes=1)
+
+
+def test_clicks_carry_no_revenue(spark):
+    row = one(windowed_metrics(events(spark, "ssp", {"action": "CLICK"}), "ssp"))
+    assert (row["clicks"], row["impressions"], row["total_revenue"]) == (1, 0, 0.0)
+
+
+def test_supply_side_counters(spark):
+    actions = ["IMPRESSION", "CLICK", "CONVERSION", "VIEW", "AD_VIEWABLE", "AD_REQUEST", "AD_RESPONSE", "AD_RENDER", "AD_BLOCKED"]
+    row = one(windowed_metrics(events(spark, "ssp", *[{"action": a} for a in actions]), "ssp", grain="campaign"))
+    assert row["event_count"] == 9
+    assert (row["views"], row["ad_requests"], row["ad_responses"]) == (2, 1, 2)
+    assert (row["fill_rate"], row["viewability_rate"], row["click_through_rate"], row["conversion_rate"]) == (2.0, 2.0, 1.0, 1.0)
+
+
+def test_unique_users_and_price_averages(spark):
+    df = events(
+        spark, "ssp", {"floor_price": 1.0, "winning_bid": 2.0}, {"floor_price": 2.0, "winning_bid": 4.0}, {"user_id": "u2"}
+    )
+    row = one(windowed_metrics(df, "ssp"))
+    assert (row["unique_users"], row["event_count"]) == (2, 3)
+    assert row["avg_floor_price"] == pytest.approx(4.5 / 3) and row["avg_winning_bid"] == pytest.approx(8 / 3)
+
+
+def test_first_seen_dimensions_come_from_the_earliest_event(spark):
+    df = events(
+        spark, "ssp",
+        {"timestamp": at(20), "advertiser_id": "a0", "publisher_id": "p0"},
+        {"timestamp": at(10), "advertiser_id": "a2", "publisher_id": "p1"},
+        {"timestamp": at(10), "advertiser_id": "a1", "publisher_id": "p9"},
+    )
+    row = one(windowed_metrics(df, "ssp"))
+    assert (row["advertiser_id"], row["publisher_id"]) == ("a1", "p9")
+
+
+def test_demand_side_counters_and_money(spark):
+    df = events(
+        spark, "dsp",
+        {"action": "IMPRESSION", "clearing_price": 1.8}, {"action": "BID_WIN", "clearing_price": 2.5},
+        {"action": "BID_RESPONSE", "bid_price": 1.0}, {"action": "BID_RESPONSE", "bid_price": 2.0},
+        {"action": "BID_RESPONSE", "bid_price": 3.0}, {"action": "BID_REQUEST"}, {"action": "BID_REQUEST"},
+        {"action": "BID_LOSS"}, {"action": "BID_TIMEOUT"}, {"action": "BUDGET_EXHAUSTED"}, {"action": "CLICK"},
+    )
+    row = one(windowed_metrics(df, "dsp", grain="campaign", budget_exhausted=True))
+    assert row["total_spend"] == 1.8 and row["total_budget_spent"] == 2.5 and row["total_revenue"] == 0.0
+    assert (row["bid_requests"], row["bid_responses"], row["bid_wins"], row["bid_losses"], row["bid_timeouts"]) == (2, 3, 1, 1, 1)
+    assert (row["win_rate"], row["avg_bid_price"], row["avg_clearing_price"]) == (0.5, 2.0, 2.5)
+    assert (row["views"], row["budget_exhausted"], row["cost_per_click"]) == (0, 1, 1.8)
+
+
+def test_advertisers_are_separate_on_the_demand_side(spark):
+    df = events(spark, "dsp", {}, {"advertiser_id": "adv2"})
+    assert windowed_metrics(df, "dsp").count() == 2
+    assert windowed_metrics(df, "dsp", grain="campaign").count() == 2
+
+
+def test_ratios_are_zero_without_denominator(spark):
+    row = one(windowed_metrics(events(spark, "dsp", {"action": "CLICK"}), "dsp"))
+    zero = ("click_through_rate", "conversion_rate", "cost_per_conversion", "win_rate", "avg_bid_price", "avg_clearing_price")
+    assert all(row[c] == 0.0 for c in zero)
+
+
+def test_labels():
+    assert [window_label(m) for m in (1_000, 60_000, 60_001, 300_000, 300_001)] == [
+        "TUMBLING_1MIN", "TUMBLING_1MIN", "TUMBLING_5MIN", "TUMBLING_5MIN", "TUMBLING_1HOUR",
+    ]
+    assert window_label(300_000, 60_000) == "TUMBLING_5MIN"
+    assert window_label(300_000, 60_000, "accurate") == "SLIDING_5MIN_1MIN"
+
+
+def test_window_bounds_are_half_open(spark):
+    df = events(spark, "ssp", {"timestamp": at(0)}, {"timestamp": at(59.999)}, {"timestamp": at(60)})
+    counts = {r["window_start"].minute: r["event_count"] for r in rows(windowed_metrics(df, "ssp"))}
+    assert counts == {0: 2, 1: 1}
+
+
+@pytest.mark.parametrize("size_ms, slide_ms", [
+    (60_000, 60_000), (300_000, 60_000), (300_000, 120_000), (7_000, 3_000),
+    (3_600_000, 30_000), (90_000, 1_000), (4_000, 4_000),
+])
+def test_any_window_against_brute_force(spark, size_ms, slide_ms):
+    """Also windows that overlap more than one block, do not divide, or start before 1970."""
+    rng = random.Random(size_ms + slide_ms)
+    spec = []
+    for i in range(120):
+        base = -200.0 if i % 3 == 0 else 1_710_496_800.0
+        spec.append({
+            "event_id": str(i), "timestamp": NOW + timedelta(seconds=base + rng.randrange(0, 400_000) / 1000 - NOW.timestamp()),
+            "user_id": f"u{rng.randrange(6)}", "campaign_id": f"c{rng.randrange(2)}",
+            "action": rng.choice(["IMPRESSION", "CLICK", "VIEW"]), "winning_bid": float(rng.randrange(100)),
+        })
+    want = defaultdict(lambda: [0, set(), 0.0])
+    for e in spec:
+        ms = round(e["timestamp"].timestamp() * 1000)
+        for start in itertools.takewhile(lambda s: s > ms - size_ms, itertools.count(ms - ms % slide_ms, -slide_ms)):
+            acc = want[(start, e["campaign_id"], e["action"])]
+            acc[0] += 1
+            acc[1].add(e["user_id"])
+            acc[2] += e["winning_bid"] if e["action"] == "IMPRESSION" else 0.0
+    got = windowed_metrics(events(spark, "ssp", *spec), "ssp", size_ms, slide_ms).select(
+        F.unix_millis("window_start").alias("s"), "campaign_id", "action", "event_count", "unique_users", "total_revenue"
+    )
+    assert {(r.s, r.campaign_id, r.action): (r.event_count, r.unique_users, r.total_revenue) for r in got.collect()} == {
+        k: (n, len(users), revenue) for k, (n, users, revenue) in want.items()
+    }
+
+
+def test_approximate_users_are_close(spark):
+    df = events(spark, "ssp", *[{"user_id": f"u{i % 500}"} for i in range(1500)])
+    for slide in (None, 60_000):
+        size = 60_000 if slide is None else 300_000
+        got = rows(windowed_metrics(df, "ssp", size, slide, unique="approx"))
+        assert all(abs(r["unique_users"] - 500) < 25 and r["event_count"] == 1500 for r in got)
+
+
+@pytest.mark.parametrize("side", ["ssp", "dsp"])
+def test_invariants(spark, side):
+    good = good_events(spark, SF, side).cache()
+    minute = windowed_metrics(good, side)
+    sliding = windowed_metrics(good, side, 300_000, 60_000)
+    campaign = windowed_metrics(good, side, grain="campaign")
+    total = lambda df: df.agg(F.sum("event_count")).first()[0]
+    assert total(minute) == good.count() == total(campaign)
+    assert total(sliding) == 5 * good.count()
+    keys = ["window_start", "campaign_id"] + (["advertiser_id"] if side == "dsp" else [])
+    counters = ["impressions", "clicks", "conversions", "views", "event_count"]
+    summed = minute.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counters])
+    assert summed.exceptAll(campaign.select(*keys, *counters)).count() == 0
+    good.unpersist()
+
+
+def test_bad_arguments(spark):
+    df = events(spark, "ssp", {})
+    for bad in ({"grain": "user"}, {"unique": "maybe"}, {"size_ms": 0}, {"size_ms": 1000, "slide_ms": 2000}):
+        with pytest.raises(ValueError):
+            windowed_metrics(df, "ssp", **bad)
