@@ -20,11 +20,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def floor_div(col: Column, n: int) -> Column:
-    """Whole-number division of a long, rounding down also below zero."""
-    return F.call_function("div", col - F.pmod(col, F.lit(n)), F.lit(n))
-
-
 def _floor_to(ts: Column | str, micros: int) -> Column:
     us = F.unix_micros(_col(ts))
     return F.timestamp_micros(us - F.pmod(us, F.lit(micros)))

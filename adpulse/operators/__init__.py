@@ -2,7 +2,7 @@
 
 from .archive import archive_rows, enrich, storable, to_archive, with_partitions
 from .dedup import deduplicate, with_fingerprint
-from .mapping import one_per_event, with_mapping
+from .mapping import with_mapping
 from .metrics import base_ratios, finish, ratio, window_label, window_state, windowed_metrics
 from .shape import evaluate_once
 from .validate import (
@@ -17,7 +17,7 @@ from .validate import (
 
 __all__ = [
     "archive_rows", "base_ratios", "deduplicate", "enrich", "evaluate_once", "finish",
-    "observe_rejects", "one_per_event", "ratio", "reject_codes", "reject_stats", "rejected",
+    "observe_rejects", "ratio", "reject_codes", "reject_stats", "rejected",
     "storable", "to_archive", "valid", "valid_events", "validate", "window_label", "window_state",
     "windowed_metrics", "with_fingerprint", "with_mapping", "with_partitions",
 ]

@@ -6,15 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def one_per_event(mappings: DataFrame, event_id: str = "event_id", mapping: str = "mapping") -> DataFrame:
-    """One mapping per id: the smallest where there are several."""
-    return mappings.groupBy(F.col(event_id).alias("event_id")).agg(F.min(mapping).alias("mapping"))
-
-
 def with_mapping(
     events: DataFrame, mappings: DataFrame, event_id: str = "event_id", mapping: str = "mapping"
 ) -> DataFrame:
-    """Add ``mapping`` to every event, null where its id has none. Also for streams (static table).
+    """Add ``mapping`` to every event, null where its id has none, the smallest where it has several.
+    Also for a stream of events with a static table.
 
     Nothing is forced to be broadcast: Spark does so when the reduced table is measured to be below
     ``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges otherwise.

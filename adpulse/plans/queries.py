@@ -7,6 +7,7 @@ are given without a zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from os.path import basename
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ..operators import (
 )
 from ..session import configure, shared_folder
 from ..sinks import batch_files, read_batches, write_archive
-from ..sources import decode, decode_mixed, decode_with_errors, encode_events, encode_metrics, read_archive
+from ..sources import decode, decode_mixed, decode_with_errors, encode_events, encode_metrics, event_json, read_archive
 from ..streaming import archive_query, dead_letter_query, metrics_query
 from .adapter import AS_OF, adapt, read_events
 
@@ -171,7 +172,7 @@ def _messages(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     json = F.col("value")
     price = "winning_bid" if side == "ssp" else "clearing_price"
     nullable = "ad_slot" if side == "ssp" else "targeting_segments"
-    return encode_and(events, side, "_n").select(
+    return _encode_and(events, side, "_n").select(
         n,
         F.when(n % 11 == 0, F.substring(json, 1, 40))
         .when(n % 13 == 0, F.replace(json, F.lit('"user_id"'), F.lit('"visitor"')))
@@ -184,9 +185,8 @@ def _messages(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     )
 
 
-def encode_and(events: DataFrame, side: str, *columns: str) -> DataFrame:
-    from ..sources import event_json
-
+def _encode_and(events: DataFrame, side: str, *columns: str) -> DataFrame:
+    """Events as JSON, next to some of their columns."""
     return events.select(*columns, event_json(side).alias("value"))
 
 
@@ -213,7 +213,7 @@ def json_decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = events_of(spark, sf_dir, side, whole=True)
         other = F.col("user_id").endswith("3")  # a type no decoder knows
         start = F.concat(F.lit('{"event_type":"'), F.when(other, "OTHER").otherwise(tag), F.lit('",'))
-        json = encode_and(events, side, "user_id")
+        json = _encode_and(events, side, "user_id")
         parts.append(json.select(F.concat(start, F.substr("value", F.lit(2))).alias("value")))
     decoded = decode_mixed(parts[0].unionByName(parts[1]))
     common = ["event_id", "timestamp", "campaign_id", "user_id", "action"]
@@ -346,7 +346,7 @@ def _stream_metrics(side: str, size_ms: int, slide_ms: int | None = None) -> Que
         out = shared_folder(spark, f"stream-{side}")
         query = metrics_query(
             _flushed_stream(spark, sf_dir, side, f"{out}/flush"), side, batch_files(f"{out}/rows"), f"{out}/checkpoint",
-            size_ms=size_ms, slide_ms=slide_ms, as_of=AS_OF, trigger={"availableNow": True},
+            name=basename(out), size_ms=size_ms, slide_ms=slide_ms, as_of=AS_OF, trigger={"availableNow": True},
         )
         query.awaitTermination()
         return present(read_batches(spark, f"{out}/rows"))
@@ -360,7 +360,7 @@ def _stream_dead_letters(side: str) -> Query:
         out = shared_folder(spark, f"dead-letters-{side}")
         events = evaluate_once(adapt(table_stream(spark, sf_dir), side).drop(*_UNUSED))
         query = dead_letter_query(
-            events, side, batch_files(f"{out}/rows"), f"{out}/checkpoint", as_of=AS_OF, trigger={"availableNow": True}
+            events, side, batch_files(f"{out}/rows"), f"{out}/checkpoint", basename(out), AS_OF, {"availableNow": True}
         )
         query.awaitTermination()
         return present(read_batches(spark, f"{out}/rows").drop("reject_reason"))
@@ -374,7 +374,7 @@ def _stream_archive(side: str) -> Query:
         out = shared_folder(spark, f"stream-archive-{side}")
         events = evaluate_once(adapt(table_stream(spark, sf_dir), side))
         query = archive_query(
-            events, side, f"{out}/rows", f"{out}/checkpoint",
+            events, side, f"{out}/rows", f"{out}/checkpoint", basename(out),
             processing_time=F.timestamp_millis(F.lit(PROCESSING_MS)), trigger={"availableNow": True},
         )
         query.awaitTermination()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from adpulse.plans import oracles, registry
 from tests.compare import connect, difference
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")

@@ -4,6 +4,7 @@ from datetime import timedelta
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from adpulse.operators import (
     observe_rejects,
@@ -93,6 +94,26 @@ def test_wall_clock_is_the_default(spark):
     assert validate(events(spark, "ssp", {}), "ssp").first()["reject_code"] == "too_old"
 
 
+def test_now_can_be_a_column(spark):
+    df = events(spark, "ssp", {}, {"event_id": "late"})
+    seen = F.when(F.col("event_id") == "late", F.lit("2024-03-17 00:00:00")).otherwise(F.lit("2024-03-15 10:00:00"))
+    df = df.withColumn("ingest_time", seen.cast("timestamp"))
+    codes = {r.event_id: r.reject_code for r in validate(df, "ssp", F.col("ingest_time")).collect()}
+    assert codes == {"e1": None, "late": "too_old"}
+    assert [r.event_id for r in valid_events(df, "ssp", F.col("ingest_time")).collect()] == ["e1"]
+
+
+def test_quick_conditions_agree_with_the_rules(spark):
+    """The plain conditions of valid_events reject nothing the rules accept."""
+    df = events(
+        spark, "ssp", {"timestamp": NOW - AGE}, {"timestamp": NOW + AHEAD}, {"timestamp": NOW - AGE - SECOND},
+        {"timestamp": NOW + AHEAD + SECOND}, {"action": "BID_WIN"}, {"timestamp": None}, {"action": None},
+    )
+    annotated = validate(df, "ssp", NOW)
+    assert sorted(map(str, valid_events(df, "ssp", NOW).collect())) == sorted(map(str, valid(annotated).collect()))
+    assert valid(annotated).count() == 2
+
+
 def test_unknown_side():
     with pytest.raises(ValueError):
         validate(None, "abc")
