@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_crc, map_batches, materialize, texts, words_of
+from .common import doc_crc, map_batches, materialize, most_frequent, texts, words_of
 
 STATES = 8
 OWN = 61_440       # words with a symbol of their own; symbol 0 is the end of a text
@@ -26,8 +26,8 @@ KNOWN = 1 << 18    # words whose counts each task holds; the counts of all other
 HELD = 1 << 18     # different words at which a task hands on its counts
 BLOCK = 4_096      # symbols in one row of partial counts
 SEGMENT = 1 << 16  # tokens after which training starts a sequence anew; scoring never does
-# Shares of the training texts in each round of Baum-Welch: nested growing parts, then twice all of them.
-ROUNDS = (1 / 32,) * 6 + (1 / 8,) * 3 + (1.0, 1.0)
+# Shares of the training texts in each round of Baum-Welch: nested growing parts, at last all of them.
+ROUNDS = (1 / 32,) * 6 + (1 / 8,) * 4 + (1.0,)
 SMOOTHING = 0.1
 PRIOR = 200.0      # pseudo-tokens by overall frequency that each state starts from
 
@@ -174,7 +174,7 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
 
     ``overall`` is the share of each symbol. Each round sums expected counts within tasks, then over groups
     of tasks, then over groups; the driver sees tables of fixed size. Early rounds read a part of the texts,
-    drawn by a hash of the id, to leave the flat start cheaply; the last two read every training text.
+    drawn by a hash of the id, to leave the flat start cheaply; the last reads every training text.
     """
     spark = encoded.sparkSession
     rng = np.random.default_rng(seed)
@@ -230,7 +230,7 @@ def score_texts(docs: DataFrame, folds: int = 10, rounds=ROUNDS) -> DataFrame:
     tokens, kinds = (facts.n or 0) + ends, facts.v + (1 if ends else 0)
     spread = np.log10(tokens + SMOOTHING * (kinds + 1))
 
-    top = table.orderBy(F.desc("n"), "word").limit(KNOWN).toPandas()
+    top = most_frequent(table, "word", KNOWN)
     top_words, top_n = [bytes(w) for w in top["word"]], top["n"].to_numpy(np.float64)
     # sums of the classes, over all words without an own symbol
     per_class = table.groupBy(_class_column().alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()

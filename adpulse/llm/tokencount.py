@@ -8,7 +8,7 @@ from itertools import repeat
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, texts
+from .common import map_batches, materialize, most_frequent, texts
 from .pretokens import pretokens, tokenizer
 
 # Most frequent pre-tokens whose piece counts each task holds; all others are joined. A fixed number, so what
@@ -54,7 +54,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     table = pretoken_table(docs, path)
-    top = table.orderBy(F.desc("n"), "pretoken").limit(FREQUENT).select("pretoken", "pieces").toPandas()
+    top = most_frequent(table, "pretoken", FREQUENT)
     frequent = spark.sparkContext.broadcast(dict(zip(top["pretoken"], top["pieces"].tolist())))
 
     def frequencies(batches):
