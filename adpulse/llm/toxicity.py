@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_crc, map_batches, texts
+from .common import doc_crc, map_batches, materialize, texts
 
 # Bounds of the sample that the classifier is fitted to; scores cover all texts.
 POSITIVES = 8_192    # confirmed toxic texts
@@ -23,42 +21,34 @@ def features(text: bytes) -> set[bytes]:
     return set(text.lower().translate(_BLANK).split())
 
 
-def choose_words(positive: list[set[bytes]], unlabelled: list[set[bytes]], most: int = FEATURES) -> list[bytes]:
-    """Words by how surely their share differs between the two samples (log-likelihood ratio)."""
-    p, u = Counter(w for s in positive for w in s), Counter(w for s in unlabelled for w in s)
-    names = [w for w, n in (p + u).items() if n >= 3]
-    a, b = np.array([p[w] for w in names], float), np.array([u[w] for w in names], float)
-    np_, nu = max(1, len(positive)), max(1, len(unlabelled))
-    rate = (a + b) / (np_ + nu)
+def choose_words(names: list[str], positive: np.ndarray, unlabelled: np.ndarray, n_p: int, n_u: int, most: int = FEATURES) -> list[str]:
+    """Words by how surely their shares of ``n_p`` and ``n_u`` texts differ (log-likelihood ratio)."""
+    rate = (positive + unlabelled) / (n_p + n_u)
 
-    def term(k, n, q):
-        return k * np.log(np.maximum(k, 1e-9) / (n * q)) + (n - k) * np.log(np.maximum(n - k, 1e-9) / np.maximum(n * (1 - q), 1e-9))
+    def term(k, n):
+        return k * np.log(np.maximum(k, 1e-9) / (n * rate)) + (n - k) * np.log(np.maximum(n - k, 1e-9) / np.maximum(n * (1 - rate), 1e-9))
 
-    gain = term(a, np_, rate) + term(b, nu, rate) if names else a
+    gain = term(positive, n_p) + term(unlabelled, n_u)
     order = sorted(range(len(names)), key=lambda i: (-gain[i], names[i]))
     return [names[i] for i in order[:most] if gain[i] > 3]
 
 
-def _sparse(samples: list[set[bytes]], place: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows, columns = [], []
-    for i, words in enumerate(samples):
-        hit = [place[w] for w in words if w in place]
-        rows += [i] * len(hit)
-        columns += hit
-    return np.array(rows, np.int64), np.array(columns, np.int64)
+def _sparse(samples: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.repeat(np.arange(len(samples)), [len(s) for s in samples])
+    return rows, np.concatenate([np.empty(0, np.int64), *(np.asarray(s, np.int64) for s in samples)])
 
 
-def fit_nnpu(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, words: list[bytes],
+def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], prior: float, n_w: int,
              steps: int = STEPS, rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier that minimises the non-negative PU risk with logistic loss.
+    """Weights of ``n_w`` words, and bias, of a linear classifier of texts given as the places of their words.
 
-    The risk is prior * E_p[l(+)] + max(0, E_u[l(-)] - prior * E_p[l(-)]) (Kiryo et al., 2017). Where the
+    It minimises the non-negative PU risk with logistic loss,
+    prior * E_p[l(+)] + max(0, E_u[l(-)] - prior * E_p[l(-)]) (Kiryo et al., 2017). Where the
     second part, an estimate of the negatives' risk, falls below zero, the step goes up that part instead,
     which is what keeps the classifier from fitting the positives away.
     """
-    place = {w: i for i, w in enumerate(words)}
-    (pr, pc), (ur, uc) = _sparse(positive, place), _sparse(unlabelled, place)
-    n_p, n_u, n_w = max(1, len(positive)), max(1, len(unlabelled)), len(words)
+    (pr, pc), (ur, uc) = _sparse(positive), _sparse(unlabelled)
+    n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     w, m, v = np.zeros(n_w + 1), np.zeros(n_w + 1), np.zeros(n_w + 1)
     w[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -84,7 +74,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, also: tup
 
     Texts whose CRC of the id is divisible by ``folds`` are held out: neither they nor their labels are
     learned from. The rest gives at most :data:`POSITIVES` confirmed toxic texts and :data:`UNLABELLED`
-    texts without regard to labels; the class prior is the share of toxic ones among the training labels.
+    texts without regard to labels; of these the driver gets word counts and the places of chosen words. The class prior is the share of toxic ones among the training labels.
     Only words of the text enter a score.
 
     Null and empty texts get the score of a text without known words. Rows of one id are scored alike if their
@@ -107,15 +97,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, also: tup
         sample = sample.select("text", F.col("_id").isNotNull().alias("confirmed"), (hashed < bound).alias("drawn"))
 
         def reduce(rows: pa.RecordBatch) -> pa.RecordBatch:
-            joined = [b" ".join(sorted(features(t))) for t in rows.column(0).to_pylist()]
-            return pa.RecordBatch.from_arrays([pa.array(joined, pa.binary()), rows.column(1), rows.column(2)], ["words", "confirmed", "drawn"])
-
-        got = [(set(bytes(r.words).split()), r.confirmed, r.drawn) for r in map_batches(sample, reduce, "words binary, confirmed boolean, drawn boolean").toLocalIterator()]
-        positive, unlabelled = [s for s, c, _ in got if c], [s for s, _, d in got if d]
-        if positive and unlabelled:
-            words = choose_words(positive, unlabelled)
-            weights, bias = fit_nnpu(positive, unlabelled, prior, words)
-    model = spark.sparkContext.broadcast((dict(zip(words, weights.tolist())), bias))
+            joined = [sorted(w.decode("utf-8", "replace") for w in features(t)) for t in rows.column(0).to_pylist()]
+            return pa.RecordBatch.from_arrays([pa.array(joined, pa.list_(pa.string())), rows.column(1), rows.column(2)], ["words", "confirmed", "drawn"])
+
+        sample = materialize(map_batches(sample, reduce, "words array<string>, confirmed boolean, drawn boolean"), "sample")
+        n_p, n_u = (sample.where(c).count() for c in ("confirmed", "drawn"))
+        if n_p and n_u:
+            seen = sample.select(F.explode("words").alias("word"), "confirmed", "drawn").groupBy("word")
+            seen = seen.agg(*(F.sum(F.col(c).cast("double")).alias(c) for c in ("confirmed", "drawn"))).where("confirmed + drawn >= 3").toPandas()
+            words = choose_words(seen["word"].tolist(), seen["confirmed"].to_numpy(), seen["drawn"].to_numpy(), n_p, n_u)
+            place = {w: i for i, w in enumerate(words)}
+
+            def locate(rows: pa.RecordBatch) -> pa.RecordBatch:
+                found = [[place[w] for w in ws if w in place] for ws in rows.column(0).to_pylist()]
+                return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), rows.column(1), rows.column(2)], ["places", "confirmed", "drawn"])
+
+            got = map_batches(sample, locate, "places array<int>, confirmed boolean, drawn boolean").toPandas()
+            weights, bias = fit_nnpu(got["places"][got["confirmed"]].tolist(), got["places"][got["drawn"]].tolist(), prior, len(words))
+    model = spark.sparkContext.broadcast((dict(zip([w.encode() for w in words], weights.tolist())), bias))
 
     def score(rows: pa.RecordBatch) -> pa.RecordBatch:
         weight, bias_ = model.value
