@@ -63,23 +63,30 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int, verify=None) ->
     is verified there. Where over :data:`CROWDED` nodes share one, pairs are not formed: each fingerprint is
     keyed by all values within half the distance, and those that meet in a value, which are within the
     distance of each other, point at the smallest. Two close values always share such a midpoint, so no link
-    is lost and the cost stays linear. ``verify(left, right)`` adds a condition on other columns; then, and
-    for odd distances, crowded combinations are joined pairwise too, since meeting would not prove a link.
+    is lost and the cost stays linear. ``verify`` adds a condition on other columns, which meeting would not
+    prove; then, and for odd distances, all nodes of a combination are first held against its smallest, and
+    only those that this leaves in different components are paired.
     """
     masks = block_masks(rows, max_distance)
     keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
     sizes = keyed.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1")
     met = materialize(keyed.join(sizes, ["mask", "part"]), "blocks")
-    by_pairs = verify is not None or max_distance % 2 == 1
-    pairwise = met if by_pairs else met.where(F.col("n") <= CROWDED)
-    left, right = pairwise.alias("l"), pairwise.alias("r")
-    on = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.part") == F.col("r.part"))
-    on &= (F.col("l.node") < F.col("r.node")) & (bits_apart("fp") <= max_distance)
-    if verify is not None:
-        on &= verify
-    pairs = left.join(right, on).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    if by_pairs:
-        return pairs.distinct()
+    close = bits_apart("fp") <= max_distance
+    same_block = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.part") == F.col("r.part"))
+    if verify is not None or max_distance % 2:
+        close = close & verify if verify is not None else close
+        # each node against the first of its block; after that only nodes still apart are paired
+        first = met.groupBy("mask", "part").agg(F.min(F.struct("node", *(c for c in nodes.columns if c != "node"))).alias("least"))
+        first = first.select("mask", "part", "least.*").alias("r")
+        stars = met.alias("l").join(first, same_block & (F.col("l.node") > F.col("r.node")) & close)
+        stars = materialize(stars.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "stars")
+        roots = components(stars).withColumnRenamed("node", "of")
+        apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = apart.alias("l").join(apart.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close)
+        return stars.unionByName(pairs.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct())
+    pairwise = met.where(F.col("n") <= CROWDED)
+    on = same_block & (F.col("l.node") < F.col("r.node")) & close
+    pairs = pairwise.alias("l").join(pairwise.alias("r"), on).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     flips = [_signed(sum(1 << i for i in c)) for k in range(max_distance // 2 + 1) for c in combinations(range(BITS), k)]
     crowd = met.where(F.col("n") > CROWDED).select("node", "fp").distinct()
     near = crowd.withColumn("flip", F.explode(F.lit(flips))).select("node", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
