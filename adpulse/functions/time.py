@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+DAY_MICROS = 86_400 * MICROS
 _MINUTE = 60 * MICROS
 _HOUR = 60 * _MINUTE
 _DAY = 24 * _HOUR
@@ -49,16 +50,36 @@ def truncate_to_n_minutes(ts: Column | str, n: int) -> Column:
     return F.timestamp_seconds(F.call_function("div", F.unix_seconds(_col(ts)), step) * step)
 
 
+def _utc(ts: Column | str) -> tuple[Column, Column]:
+    """The date in UTC as text and the microseconds of that day, whatever the session's zone.
+
+    ``date_format`` prints in the session's zone, and a detour through local wall time is ambiguous when
+    clocks go back, so both come from the epoch.
+    """
+    micros = F.unix_micros(_col(ts).cast("timestamp"))
+    rest = F.pmod(micros, F.lit(DAY_MICROS))
+    return F.date_from_unix_date(((micros - rest) / DAY_MICROS).cast("int")).cast("string"), rest
+
+
+def _two_digits(micros: Column, unit: int, of: int) -> Column:
+    return F.lpad(F.pmod(F.floor(micros / unit), F.lit(of)).cast("string"), 2, "0")
+
+
 def partition_path(ts: Column | str, event_type: str | None = None) -> Column:
-    """``year=YYYY/month=MM/day=DD/hour=HH``, below ``event_type=T/`` when a type is given."""
-    path = F.date_format(_col(ts), "'year='yyyy'/month='MM'/day='dd'/hour='HH")
+    """``year=YYYY/month=MM/day=DD/hour=HH`` in UTC, below ``event_type=T/`` when a type is given."""
+    parts = partition_columns(ts)
+    path = F.concat_ws("/", *[F.concat(F.lit(f"{name}="), part) for name, part in parts.items()])
+    path = F.when(_col(ts).isNotNull(), path)
     return path if event_type is None else F.concat(F.lit(f"event_type={event_type}/"), path)
 
 
 def partition_columns(ts: Column | str) -> dict[str, Column]:
-    """The four archive partition columns as zero-padded text, so that paths read ``month=03``."""
-    patterns = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    return {name: F.date_format(_col(ts), pattern) for name, pattern in patterns.items()}
+    """The four archive partition columns in UTC as zero-padded text, so that paths read ``month=03``."""
+    date, rest = _utc(ts)
+    return {
+        "year": F.substring(date, 1, 4), "month": F.substring(date, 6, 2), "day": F.substring(date, 9, 2),
+        "hour": _two_digits(rest, 3600 * MICROS, 24),
+    }
 
 
 def from_epoch_millis(ms: Column | str) -> Column:
@@ -88,10 +109,13 @@ def within_processing_window(
 
 def iso_instant(ts: Column | str) -> Column:
     """ISO-8601 text in UTC with no, three or six fraction digits, as few as keep the value."""
-    t = _col(ts)
-    fraction = F.pmod(F.unix_micros(t), F.lit(MICROS))
+    date, rest = _utc(ts)
+    clock = [_two_digits(rest, unit * MICROS, of) for unit, of in ((3600, 24), (60, 60), (1, 60))]
+    second = F.concat(date, F.lit("T"), F.concat_ws(":", *clock))
+    fraction = F.pmod(rest, F.lit(MICROS))
+    digits = F.lpad(fraction.cast("string"), 6, "0")
     return (
-        F.when(fraction == 0, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(fraction % 1000 == 0, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        F.when(fraction == 0, F.concat(second, F.lit("Z")))
+        .when(fraction % 1000 == 0, F.concat(second, F.lit("."), F.substring(digits, 1, 3), F.lit("Z")))
+        .otherwise(F.concat(second, F.lit("."), digits, F.lit("Z")))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from os.path import basename
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +40,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MINUTE, FIVE_MINUTES, HOUR = 60_000, 300_000, 3_600_000
 _UNUSED = ("metadata", "ad_slot", "page_url", "targeting_segments")  # by validation and metrics
-# a time that closes every window of the test hour and still passes validation
-FLUSH = "2024-01-01 01:05:00"
+# the closing event, later than any window that an event accepted by the age rules can be in
+FLUSH_ID, FLUSH = "flush", "2024-01-03 00:00:00"
 PROCESSING_MS = 1_704_070_800_000  # a fixed processing time, in place of the wall clock
 
 
@@ -319,16 +319,24 @@ def base_ratio_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The events table as a stream, be it one file or a folder of part files.
+
+    A single file can't be a stream's path, so then its folder is watched for that one name.
+    """
+    table = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(table).schema)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    if status.isDirectory():
+        return reader.parquet(table)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def _flushed_stream(spark: SparkSession, sf_dir: str, side: str, scratch: str) -> DataFrame:
     """The adapted table as a stream, and with it one event late enough to close every window that
     holds events of the table. The windows of that event itself stay open and are never written."""
     events = adapt(table_stream(spark, sf_dir), side).drop(*_UNUSED)
-    texts = {f.name: "flush" for f in events.schema.fields if isinstance(f.dataType, T.StringType)}
+    texts = {f.name: FLUSH_ID for f in events.schema.fields if isinstance(f.dataType, T.StringType)}
     flush = spark.range(1).select(*[
         F.lit({**texts, "timestamp": FLUSH, "action": "CLICK"}.get(f.name, 1.0)).cast(f.dataType).alias(f.name)
         for f in events.schema.fields
@@ -338,6 +346,11 @@ def _flushed_stream(spark: SparkSession, sf_dir: str, side: str, scratch: str) -
     return evaluate_once(events).unionByName(late)
 
 
+def _as_of() -> Column:
+    """The "now" of the age rules: the fixed one, but for the closing event its own time."""
+    return F.when(F.col("event_id") == FLUSH_ID, F.col("timestamp")).otherwise(F.lit(AS_OF).cast("timestamp"))
+
+
 def _stream_metrics(side: str, size_ms: int, slide_ms: int | None = None) -> Query:
     """Window metrics computed by a streaming query over the table, run to its end."""
 
@@ -346,7 +359,7 @@ def _stream_metrics(side: str, size_ms: int, slide_ms: int | None = None) -> Que
         out = shared_folder(spark, f"stream-{side}")
         query = metrics_query(
             _flushed_stream(spark, sf_dir, side, f"{out}/flush"), side, batch_files(f"{out}/rows"), f"{out}/checkpoint",
-            name=basename(out), size_ms=size_ms, slide_ms=slide_ms, as_of=AS_OF, trigger={"availableNow": True},
+            name=basename(out), size_ms=size_ms, slide_ms=slide_ms, as_of=_as_of(), trigger={"availableNow": True},
         )
         query.awaitTermination()
         return present(read_batches(spark, f"{out}/rows"))

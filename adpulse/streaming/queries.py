@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators import finish, observe_rejects, rejected, to_archive, valid_events, validate, window_state
@@ -92,13 +92,18 @@ def archive_query(
     processing_time: Column | None = None,
     options: Mapping[str, str] | None = None,
     trigger: Mapping[str, Any] | None = None,
+    writers_per_hour: int = 4,
 ) -> StreamingQuery:
     """Append a stream of events to the hourly Parquet archive, each batch exactly once.
 
-    No state and no watermark; files become visible when their batch is committed.
+    No state and no watermark; files become visible when their batch is committed. A batch is dealt by hour
+    and a salt first, so an hour gets at most ``writers_per_hour`` files per batch, however many tasks read
+    the topic, and a busy hour still has several writers.
     """
     require_utc(events.sparkSession)
     rows = to_archive(events, side, processing_time, partition_by)
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(writers_per_hour))
+    rows = rows.repartition(*PARTITIONS, salt)
     writer = (
         rows.writeStream.outputMode("append").format("parquet")
         .options(**(options or {})).option("path", path).partitionBy(*PARTITIONS)
