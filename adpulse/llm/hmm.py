@@ -28,6 +28,7 @@ BLOCK = 4_096      # symbols in one row of partial counts
 SEGMENT = 1 << 16  # tokens after which training starts a sequence anew; scoring never does
 # Shares of the training texts in each round of Baum-Welch: nested growing parts, at last all of them.
 ROUNDS = (1 / 32,) * 6 + (1 / 8,) * 4 + (1.0,)
+SLICE = 1 << 22    # tokens whose sequences are grouped by length together, at least one text
 SMOOTHING = 0.1
 PRIOR = 200.0      # pseudo-tokens by overall frequency that each state starts from
 
@@ -61,7 +62,20 @@ def word_table(training: DataFrame) -> DataFrame:
     return materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
-def sequences(symbols: list[np.ndarray], group: int = 256, area: int = 1 << 20):
+def slices(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """The symbols of consecutive texts, about :data:`SLICE` at a time, so that memory does not grow with their lengths."""
+    held, size = [], 0
+    for data in column:
+        held.append(np.frombuffer(data.as_buffer(), np.uint16))
+        size += len(held[-1])
+        if size >= SLICE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def sequences(symbols: list[np.ndarray], group: int = 512, area: int = 1 << 19):
     """Groups ``(indices, matrix, active)`` of sequences by length: ``matrix[t]`` holds the t-th symbols of the
     ``active[t]`` sequences that are so long."""
     order = sorted((i for i in range(len(symbols)) if len(symbols[i])), key=lambda i: -len(symbols[i]))
@@ -188,8 +202,7 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
         def expect(batches):
             counts = Counts(states, len(overall))
             for batch in batches:
-                for at in range(0, batch.num_rows, 512):
-                    raw = [np.frombuffer(b, np.uint16) for b in batch.column(0).slice(at, 512).to_pylist()]
+                for raw in slices(batch.column(0)):
                     counts.add([s[k:k + SEGMENT] for s in raw for k in range(0, len(s), SEGMENT)], *model.value)
             block, data = zip(*counts.rows())
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
@@ -304,9 +317,7 @@ def score_texts(docs: DataFrame, folds: int = 10, rounds=ROUNDS) -> DataFrame:
     model = spark.sparkContext.broadcast(baum_welch(encoded.where("not held_out"), overall, rounds))
 
     def likelihood(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = []
-        for at in range(0, rows.num_rows, 512):
-            found.append(forward([np.frombuffer(b, np.uint16) for b in rows.column(1).slice(at, 512).to_pylist()], *model.value))
+        found = [forward(symbols, *model.value) for symbols in slices(rows.column(1))]
         return pa.RecordBatch.from_arrays([rows.column(0), *rows.columns[2:], pa.array(np.concatenate(found) / np.log(10))], rows.schema.names[:1] + rows.schema.names[2:] + ["path"])
 
     scored = map_batches(encoded.select("row", "symbols", "doc_id", "held_out", "n_tokens", "n_known", "base", "within"), likelihood,
