@@ -15,6 +15,8 @@ from .components import components
 BITS = 64
 # A block combination shared by more different fingerprints than this is linked through midpoints.
 CROWDED = 1024
+# Turns in which all nodes of a block are held against one of them, before those still apart are paired.
+TURNS = 3
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -64,8 +66,9 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int, verify=None) ->
     keyed by all values within half the distance, and those that meet in a value, which are within the
     distance of each other, point at the smallest. Two close values always share such a midpoint, so no link
     is lost and the cost stays linear. ``verify`` adds a condition on other columns, which meeting would not
-    prove; then, and for odd distances, all nodes of a combination are first held against its smallest, and
-    only those that this leaves in different components are paired.
+    prove; then, and for odd distances, all nodes of a combination are first held against its smallest, then
+    against others drawn by a hash anew in each combination and turn. Each of :data:`TURNS` turns costs one
+    comparison a row, and only nodes that they leave in different components are paired.
     """
     masks = block_masks(rows, max_distance)
     keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
@@ -75,15 +78,19 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int, verify=None) ->
     same_block = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.part") == F.col("r.part"))
     if verify is not None or max_distance % 2:
         close = close & verify if verify is not None else close
-        # each node against the first of its block; after that only nodes still apart are paired
-        first = met.groupBy("mask", "part").agg(F.min(F.struct("node", *(c for c in nodes.columns if c != "node"))).alias("least"))
-        first = first.select("mask", "part", "least.*").alias("r")
-        stars = met.alias("l").join(first, same_block & (F.col("l.node") > F.col("r.node")) & close)
-        stars = materialize(stars.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "stars")
-        roots = components(stars).withColumnRenamed("node", "of")
-        apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
+        # each node against one pivot of its block, another in each turn; after that only nodes still apart are paired
+        apart, edges = met.withColumn("root", F.col("node")), None
+        for turn in range(TURNS):
+            order = F.xxhash64("node", "mask", F.lit(turn)) if turn else F.col("node")
+            pivot = apart.groupBy("mask", "part").agg(F.min(F.struct(order.alias("order"), "root", *nodes.columns)).alias("least"))
+            pivot = pivot.select("mask", "part", "least.*").alias("r")
+            found = apart.alias("l").join(pivot, same_block & (F.col("l.root") != F.col("r.root")) & close)
+            found = found.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct()
+            edges = materialize(edges.unionByName(found) if edges else found, "stars")
+            roots = components(edges).withColumnRenamed("node", "of")
+            apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
         pairs = apart.alias("l").join(apart.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close)
-        return stars.unionByName(pairs.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct())
+        return edges.unionByName(pairs.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct())
     pairwise = met.where(F.col("n") <= CROWDED)
     on = same_block & (F.col("l.node") < F.col("r.node")) & close
     pairs = pairwise.alias("l").join(pairwise.alias("r"), on).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
