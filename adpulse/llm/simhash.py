@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import acos, log2, pi
+from math import log2, pi
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import map_batches, materialize, shingle_hashes, texts, words_of
@@ -17,6 +18,12 @@ BITS = 64
 CROWDED = 1024
 # Turns in which all nodes of a block are held against one of them, before those still apart are paired.
 TURNS = 3
+# Near-duplicates: fingerprints of word pairs for the blocks, and fingerprints of shingle sets to verify.
+PRINTS = 4
+SKETCH = 16
+# Odd multipliers, one per fingerprint.
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+_ODD = np.array([(xxhash.xxh64_intdigest(bytes([i])) | 1) for i in range(SKETCH)], np.uint64)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -28,6 +35,14 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def _mixed(hashes: np.ndarray, i: int) -> np.ndarray:
+    """The hashes mixed anew for fingerprint ``i``."""
+    part = hashes * _ODD[i]
+    part ^= part >> np.uint64(32)
+    part *= _MIX
+    return part ^ (part >> np.uint64(29))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``(doc_id, fp)`` of every whole text, over ``shingle``-word shingles with repeats."""
 
@@ -58,39 +73,23 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def close_pairs(nodes: DataFrame, rows: int, max_distance: int, verify=None) -> DataFrame:
+def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly the nodes whose ``fp`` differ in at most ``max_distance`` bits.
 
-    ``nodes(node, fp, ...)`` has one row per node. Every close pair meets in a shared block combination and
-    is verified there. Where over :data:`CROWDED` nodes share one, pairs are not formed: each fingerprint is
+    ``nodes(node, fp)`` has one row per node. Every close pair meets in a shared block combination and is
+    verified there. Where over :data:`CROWDED` nodes share one, pairs are not formed: each fingerprint is
     keyed by all values within half the distance, and those that meet in a value, which are within the
     distance of each other, point at the smallest. Two close values always share such a midpoint, so no link
-    is lost and the cost stays linear. ``verify`` adds a condition on other columns, which meeting would not
-    prove; then, and for odd distances, all nodes of a combination are first held against its smallest, then
-    against others drawn by a hash anew in each combination and turn. Each of :data:`TURNS` turns costs one
-    comparison a row, and only nodes that they leave in different components are paired.
+    is lost and the cost stays linear. An odd distance has no midpoint; then :func:`pivot_pairs` links.
     """
     masks = block_masks(rows, max_distance)
     keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
     sizes = keyed.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1")
     met = materialize(keyed.join(sizes, ["mask", "part"]), "blocks")
     close = bits_apart("fp") <= max_distance
+    if max_distance % 2:
+        return pivot_pairs(met.select(F.xxhash64("mask", "part").alias("block"), "node", "fp"), close)
     same_block = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.part") == F.col("r.part"))
-    if verify is not None or max_distance % 2:
-        close = close & verify if verify is not None else close
-        # each node against one pivot of its block, another in each turn; after that only nodes still apart are paired
-        apart, edges = met.withColumn("root", F.col("node")), None
-        for turn in range(TURNS):
-            order = F.xxhash64("node", "mask", F.lit(turn)) if turn else F.col("node")
-            pivot = apart.groupBy("mask", "part").agg(F.min(F.struct(order.alias("order"), "root", *nodes.columns)).alias("least"))
-            pivot = pivot.select("mask", "part", "least.*").alias("r")
-            found = apart.alias("l").join(pivot, same_block & (F.col("l.root") != F.col("r.root")) & close)
-            found = found.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct()
-            edges = materialize(edges.unionByName(found) if edges else found, "stars")
-            roots = components(edges).withColumnRenamed("node", "of")
-            apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
-        pairs = apart.alias("l").join(apart.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close)
-        return edges.unionByName(pairs.select(F.col("l.root").alias("a"), F.col("r.root").alias("b")).distinct())
     pairwise = met.where(F.col("n") <= CROWDED)
     on = same_block & (F.col("l.node") < F.col("r.node")) & close
     pairs = pairwise.alias("l").join(pairwise.alias("r"), on).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
@@ -101,24 +100,54 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int, verify=None) ->
     return pairs.unionByName(near.join(stars, "mid").where("a <> node").select("a", F.col("node").alias("b"))).distinct()
 
 
+def pivot_pairs(met: DataFrame, close, accept=lambda pairs: pairs) -> DataFrame:
+    """Edges ``(a, b)`` that connect the nodes of ``met(block, node, ...)`` which meet in a block and are close.
+
+    ``close`` is a condition on the sides ``l`` and ``r`` of a pair; ``accept`` filters pairs
+    ``(left, right, a, b)`` further by what other tables say of the nodes ``left`` and ``right``. All nodes of
+    a block are first held against its smallest, then against others drawn by a hash anew in each block and
+    turn. Each of :data:`TURNS` turns costs one comparison a row, and only nodes that they leave in different
+    components are paired.
+    """
+    columns = [c for c in met.columns if c != "block"]
+    same_block = F.col("l.block") == F.col("r.block")
+    ends = [F.col("l.node").alias("left"), F.col("r.node").alias("right"), F.col("l.root").alias("a"), F.col("r.root").alias("b")]
+    apart, edges = met.withColumn("root", F.col("node")), None
+    for turn in range(TURNS):
+        order = F.xxhash64("node", "block", F.lit(turn)) if turn else F.col("node")
+        pivot = apart.groupBy("block").agg(F.min(F.struct(order.alias("order"), "root", *columns)).alias("least"))
+        pivot = pivot.select("block", "least.*").alias("r")
+        found = apart.alias("l").join(pivot, same_block & (F.col("l.root") != F.col("r.root")) & close)
+        found = accept(found.select(ends).distinct()).select("a", "b").distinct()
+        edges = materialize(edges.unionByName(found) if edges else found, "stars")
+        roots = components(edges).withColumnRenamed("node", "of")
+        apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
+    pairs = apart.alias("l").join(apart.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close)
+    return edges.unionByName(accept(pairs.select(ends).distinct()).select("a", "b").distinct())
+
+
 def bits_apart(column: str):
     """Differing bits of a column between the sides ``l`` and ``r`` of a join."""
     return F.bit_count(F.col(f"l.{column}").bitwiseXOR(F.col(f"r.{column}")))
 
 
-def near_components(prints: DataFrame, max_distance: int, verify=None, also: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, fp, *also, component_id)`` per row of ``prints``: the smallest ``doc_id`` each is linked to.
+def near_components(prints: DataFrame, max_distance: int) -> DataFrame:
+    """``(doc_id, fp, component_id)`` per row of ``prints``: the smallest ``doc_id`` each is linked to.
 
-    Rows equal in ``fp`` and ``also`` collapse to one node first, so thousands of copies cost one. Null ids
-    take no part in the minimum; a component of such rows alone has a null id.
+    Rows equal in ``fp`` collapse to one node first, so thousands of copies cost one. Null ids take no part in
+    the minimum; a component of such rows alone has a null id.
     """
-    key = ["fp", *also]
-    nodes = prints.groupBy(*key).agg(F.min("doc_id").alias("first"))
-    nodes = materialize(nodes.withColumn("node", F.xxhash64(*key) if also else F.col("fp")), "nodes")
-    roots = components(close_pairs(nodes.select("node", *key), nodes.count(), max_distance, verify))
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = materialize(nodes.withColumn("node", F.col("fp")), "nodes")
+    least = _least(nodes, close_pairs(nodes.select("node", "fp"), nodes.count(), max_distance))
+    return prints.join(least.withColumnRenamed("node", "fp"), "fp")
+
+
+def _least(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(node, component_id)``: the smallest ``first`` of the nodes that edges connect."""
+    rooted = nodes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select(*key, "component_id"), key)
+    return rooted.join(least, "root").select("node", "component_id")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
@@ -131,26 +160,66 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4)
     return near_components(prints, max_distance).select("doc_id", "fp", "component_id")
 
 
-def near_duplicate_groups(docs: DataFrame, max_distance: int = 6, similarity: float = 0.8) -> DataFrame:
+def _set_sketch(hashes: np.ndarray) -> np.ndarray:
+    """:data:`SKETCH` fingerprints of distinct 64-bit hashes, each by its own mixing of the hash."""
+    ones = np.zeros(BITS * SKETCH, np.int64)
+    for start in range(0, len(hashes), 255):  # so many ones fit a byte
+        part = np.stack([_mixed(hashes[start:start + 255], i) for i in range(SKETCH)], axis=1)
+        bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)
+
+
+def _alike(columns: list[str], similarity: float):
+    """Whether the sets of the sides ``l`` and ``r`` of a join are as similar as that, by bits and sizes."""
+    angle = sum(bits_apart(c) for c in columns) * (pi / (BITS * len(columns)))
+    common = F.cos(angle) * F.sqrt(F.col("l.size").cast("double") * F.col("r.size"))
+    return common >= similarity * (F.col("l.size") + F.col("r.size") - common)
+
+
+def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, max_distance: int = 4) -> DataFrame:
     """``(doc_id, group_id)``: the smallest id of its group for each id; near-duplicates share a group.
 
-    Candidates share blocks of a 64-bit SimHash of word pairs, at most ``max_distance`` bits apart. A pair
-    is accepted if 128-bit SimHashes of five-word shingles are as close as a Jaccard similarity of
-    ``similarity`` makes them: the angle between the count vectors of equal-sized texts is then
-    acos(2s / (1 + s)), and as many bits differ in proportion. Documents without words form one group.
+    Candidates share a block combination of any of :data:`PRINTS` 64-bit SimHashes of word pairs, cut so that
+    ``max_distance`` differing bits in one of them always leave a shared one; most pairs further apart share
+    one by chance too. Verification compares 1,024-bit SimHashes of the sets of five-word shingles: the share
+    of differing bits gives the angle between two sets, and with their sizes their Jaccard similarity, with
+    a standard error of about 0.025. A pair is accepted at ``similarity`` or more. Documents without words
+    form one group.
     """
-    limit = round(128 * acos(2 * similarity / (1 + similarity)) / pi)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text in rows.column(1).to_pylist():
             words = words_of(text)
-            out.append([majority(shingle_hashes(words, 2)), *(majority(shingle_hashes(words, 5, s)) for s in (1, 2))])
+            shingles = np.unique(shingle_hashes(words, 5))
+            pairs = shingle_hashes(words, 2)
+            out.append([len(shingles), *(majority(_mixed(pairs, i)) for i in range(PRINTS)), *_set_sketch(shingles).tolist()])
         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-        return pa.RecordBatch.from_arrays([rows.column(0), *columns], ["doc_id", "fp", "c1", "c2"])
+        return pa.RecordBatch.from_arrays([rows.column(0), *columns], ["doc_id", *key])
 
+    prints, sketch = [f"f{i}" for i in range(PRINTS)], [f"s{i}" for i in range(SKETCH)]
+    key = ["size", *prints, *sketch]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = materialize(map_batches(texts(docs), batch, f"doc_id {kind}, fp long, c1 long, c2 long"), "prints")
-    verify = bits_apart("c1") + bits_apart("c2") <= limit
-    groups = near_components(prints, max_distance, verify, ("c1", "c2"))
-    return groups.groupBy("doc_id").agg(F.min("component_id").alias("group_id"))
+    schema = ", ".join([f"doc_id {kind}", *(f"{c} long" for c in key)])
+    marked = map_batches(texts(docs), batch, schema).withColumn("node", F.xxhash64(*key))
+    marked = materialize(marked, "prints")
+    nodes = marked.groupBy("node", *key).agg(F.min("doc_id").alias("first"))
+    nodes = materialize(nodes, "nodes")
+    masks = block_masks(nodes.count(), max_distance)
+    carried = ["size", *sketch[:SKETCH // 2]]
+    keyed = nodes.select("node", *carried, F.posexplode(F.array(*prints)).alias("print", "fp"))
+    keyed = keyed.withColumn("mask", F.explode(F.lit(masks)))
+    keyed = keyed.select(F.xxhash64("print", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("block"), "node", *carried)
+    shared = keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
+    met = materialize(keyed.join(shared, "block"), "blocks")
+
+    def accept(pairs: DataFrame) -> DataFrame:
+        sides = nodes.select("node", "size", *sketch)
+        both = pairs.join(sides.alias("l"), F.col("left") == F.col("l.node")).join(sides.alias("r"), F.col("right") == F.col("r.node"))
+        return both.where(_alike(sketch, similarity))
+
+    # one standard error below, of what half of the bits say
+    close = _alike(carried[1:], similarity - 0.035)
+    least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept))
+    return marked.select("doc_id", "node").join(least, "node").groupBy("doc_id").agg(F.min("component_id").alias("group_id"))
