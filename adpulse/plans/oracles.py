@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from ..schemas import MAX_BID_PRICE, MAX_FLOOR_PRICE, SIDES
 from .adapter import BASE_MICROS, SQUEEZE
 from .queries import PROCESSING_MS
 
+# Fixed values, written out here so that the SQL does not follow a mistake in the engine's own lists.
+_ACTIONS = {
+    "ssp": ("IMPRESSION", "CLICK", "CONVERSION", "VIEW", "AD_REQUEST", "AD_RESPONSE", "AD_RENDER", "AD_VIEWABLE", "AD_BLOCKED"),
+    "dsp": (
+        "IMPRESSION", "CLICK", "CONVERSION",
+        "BID_REQUEST", "BID_RESPONSE", "BID_WIN", "BID_LOSS", "BID_TIMEOUT", "BUDGET_EXHAUSTED",
+    ),
+}
+# The event's columns without its metadata, which the archive leaves out.
+_COLUMNS = {
+    "ssp": [
+        "event_id", "timestamp", "ad_id", "campaign_id", "creative_id", "publisher_id", "advertiser_id", "user_id",
+        "action", "floor_price", "winning_bid", "ad_slot", "page_url",
+    ],
+    "dsp": [
+        "event_id", "timestamp", "ad_id", "campaign_id", "creative_id", "advertiser_id", "user_id", "action",
+        "bid_price", "clearing_price", "budget_remaining", "targeting_segments",
+    ],
+}
+
 _AS_OF_US = BASE_MICROS + 3_600_000_000
 _HOUR_US = 3_600_000_000
 
@@ -17,7 +36,7 @@ def _case(col: str, rules: dict[int, str], otherwise: str) -> str:
 
 def _adapted(side: str) -> str:
     ssp = side == "ssp"
-    actions = ", ".join(f"'{a}'" for a in SIDES[side].actions)
+    actions = ", ".join(f"'{a}'" for a in _ACTIONS[side])
     foreign = "'BID_WIN'" if ssp else "'AD_RENDER'"
     squeezed = f"({BASE_MICROS} + (epoch_us(ts) - {BASE_MICROS}) // {SQUEEZE})"
     columns = [
@@ -58,18 +77,18 @@ def _coded(side: str) -> str:
     rules.append(f"WHEN us > {_AS_OF_US} + 5 * 60000000 THEN 'in_future'")
     if side == "ssp":
         rules.append(blank("publisher_id"))
-    allowed = ", ".join(f"'{a}'" for a in SIDES[side].actions)
+    allowed = ", ".join(f"'{a}'" for a in _ACTIONS[side])
     rules.append(f"WHEN action NOT IN ({allowed}) THEN 'action_not_allowed'")
     if side == "ssp":
         rules += [
             "WHEN floor_price < 0 THEN 'floor_price_negative'",
-            f"WHEN floor_price > {MAX_FLOOR_PRICE} THEN 'floor_price_above_max'",
+            f"WHEN floor_price > 500.0 THEN 'floor_price_above_max'",
             "WHEN winning_bid < 0 THEN 'winning_bid_negative'",
         ]
     else:
         rules += [
             "WHEN bid_price < 0 THEN 'bid_price_negative'",
-            f"WHEN bid_price > {MAX_BID_PRICE} THEN 'bid_price_above_max'",
+            f"WHEN bid_price > 1000.0 THEN 'bid_price_above_max'",
             "WHEN clearing_price < 0 THEN 'clearing_price_negative'",
             "WHEN budget_remaining < 0 THEN 'budget_remaining_negative'",
         ]
@@ -157,11 +176,6 @@ summed AS (SELECT start_us, {', '.join(keys)}, {', '.join(sums)} FROM windowed G
 SELECT {', '.join(columns)} FROM summed"""
 
 
-def _event_columns(side: str) -> list[str]:
-    drop = ("metadata", "ad_slot", "page_url", "targeting_segments")
-    return [f.name for f in SIDES[side].event.fields if f.name not in drop]
-
-
 def _present(columns: list[str]) -> str:
     doubles = {"floor_price", "winning_bid", "bid_price", "clearing_price", "budget_remaining"}
     text = []
@@ -174,20 +188,27 @@ def _present(columns: list[str]) -> str:
 
 
 def _dead_letters(side: str) -> str:
-    columns = _present(_event_columns(side))
-    return f"WITH {_coded(side)} SELECT {columns}, reject_code FROM coded WHERE reject_code IS NOT NULL"
+    messages = "".join(
+        f"WHEN '{name}_{end}' THEN '{name} is {says}' "
+        for end, says, names in (
+            ("blank", "blank", ("event_id", "ad_id", "campaign_id", "creative_id", "advertiser_id", "user_id", "publisher_id")),
+            ("negative", "negative", ("floor_price", "winning_bid", "bid_price", "clearing_price", "budget_remaining")),
+            ("above_max", "above 500.0", ("floor_price",)), ("above_max", "above 1000.0", ("bid_price",)),
+        ) for name in names
+    )
+    return f"""WITH {_coded(side)} SELECT {_present(_COLUMNS[side])}, k AS metadata, reject_code,
+  CASE reject_code {messages} WHEN 'too_old' THEN 'event is older than 24 h'
+    WHEN 'in_future' THEN 'event is too far in the future'
+    WHEN 'action_not_allowed' THEN 'not a {side} action: ' || action END AS reject_reason
+FROM coded WHERE reject_code IS NOT NULL"""
 
 
 def _path(instant: str = "make_timestamp(us)") -> str:
     return f"strftime({instant}, 'year=%Y/month=%m/day=%d/hour=%H')"
 
 
-def _archive_columns(side: str) -> list[str]:
-    return [f.name for f in SIDES[side].archive.fields if f.name not in ("partition_path", "processing_time")]
-
-
 def _archive_rows(side: str) -> str:
-    columns = _present(_archive_columns(side)).replace('make_timestamp(us) AS "timestamp"', 'us // 1000 AS "timestamp"')
+    columns = _present(_COLUMNS[side]).replace('make_timestamp(us) AS "timestamp"', 'us // 1000 AS "timestamp"')
     parts = ", ".join(
         f"strftime(make_timestamp(us), '{p}') AS {n}"
         for n, p in (("year", "%Y"), ("month", "%m"), ("day", "%d"), ("hour", "%H"))
@@ -228,8 +249,7 @@ decoded AS (SELECT * REPLACE (CASE WHEN n % 29 = 0 THEN 1.5 ELSE {price} END AS
 
 
 def _json_decode(side: str) -> str:
-    columns = [f.name for f in SIDES[side].event.fields if f.name != "metadata"]
-    return f"{_decoded(side)} SELECT {_present(columns)}, k FROM decoded WHERE decode_error IS NULL"
+    return f"{_decoded(side)} SELECT {_present(_COLUMNS[side])}, k FROM decoded WHERE decode_error IS NULL"
 
 
 def _mixed() -> str:

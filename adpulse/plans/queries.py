@@ -105,12 +105,19 @@ def _reject_stats(side: str) -> Query:
 
 def _dead_letters(side: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        letters = rejected(validate(events_of(spark, sf_dir, side), side, AS_OF))
-        return present(letters.drop("reject_reason"))
+        return _flat_letters(rejected(validate(events_of(spark, sf_dir, side, whole=True), side, AS_OF)))
 
     return run
 
 
+def _flat_letters(letters: DataFrame) -> DataFrame:
+    """All columns of the dead letters; the map as its one entry, the list as text, and the reason without the
+    number or instant at its end, which engines print differently and the event's own columns hold."""
+    letters = letters.withColumn("metadata", F.col("metadata")["k"])
+    letters = letters.withColumn("reject_reason", F.regexp_replace("reject_reason", r": -?[0-9][-0-9.:E ]*h?$", ""))
+    return _flat_archive(letters)
+
+
 def _archive_rows(side: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = to_archive(
@@ -371,12 +378,12 @@ def _stream_dead_letters(side: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         out = shared_folder(spark, f"dead-letters-{side}")
-        events = evaluate_once(adapt(table_stream(spark, sf_dir), side).drop(*_UNUSED))
+        events = evaluate_once(adapt(table_stream(spark, sf_dir), side))
         query = dead_letter_query(
             events, side, batch_files(f"{out}/rows"), f"{out}/checkpoint", basename(out), AS_OF, {"availableNow": True}
         )
         query.awaitTermination()
-        return present(read_batches(spark, f"{out}/rows").drop("reject_reason"))
+        return _flat_letters(read_batches(spark, f"{out}/rows"))
 
     return run
 
