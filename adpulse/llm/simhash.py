@@ -1,9 +1,10 @@
-"""SimHash near-duplicates: pigeonhole blocks, a join on shared blocks, verified Hamming distance."""
+"""Near-duplicates by SimHash (pigeonhole blocks, verified Hamming distance) and by exact Jaccard similarity."""
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations
-from math import log2, pi
+from math import ceil, log, log1p, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +19,10 @@ BITS = 64
 CROWDED = 1024
 # Turns in which all nodes of a block are held against one of them, before those still apart are paired.
 TURNS = 3
-# Near-duplicates: fingerprints of word pairs for the blocks, and fingerprints of shingle sets to verify.
-PRINTS = 4
-SKETCH = 16
-# Odd multipliers, one per fingerprint.
+# Near-duplicates: minima in one band, share of the pairs just similar enough that meet in a band, and bits
+# of each minimum that are compared before the sets are.
+BAND, RECALL, LOW_BITS = 6, 0.99, 4
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_ODD = np.array([(xxhash.xxh64_intdigest(bytes([i])) | 1) for i in range(SKETCH)], np.uint64)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -35,14 +34,6 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def _mixed(hashes: np.ndarray, i: int) -> np.ndarray:
-    """The hashes mixed anew for fingerprint ``i``."""
-    part = hashes * _ODD[i]
-    part ^= part >> np.uint64(32)
-    part *= _MIX
-    return part ^ (part >> np.uint64(29))
-
-
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``(doc_id, fp)`` of every whole text, over ``shingle``-word shingles with repeats."""
 
@@ -160,66 +151,100 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4)
     return near_components(prints, max_distance).select("doc_id", "fp", "component_id")
 
 
-def _set_sketch(hashes: np.ndarray) -> np.ndarray:
-    """:data:`SKETCH` fingerprints of distinct 64-bit hashes, each by its own mixing of the hash."""
-    ones = np.zeros(BITS * SKETCH, np.int64)
-    for start in range(0, len(hashes), 255):  # so many ones fit a byte
-        part = np.stack([_mixed(hashes[start:start + 255], i) for i in range(SKETCH)], axis=1)
-        bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
-        ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
-    return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)
+def bands_for(similarity: float) -> int:
+    """Bands of :data:`BAND` minima in one of which a pair of that Jaccard similarity agrees with probability
+    :data:`RECALL`. Neither the number of texts nor where they differ matters."""
+    return max(1, ceil(log(1 - RECALL) / log1p(-(min(similarity, 0.999) ** BAND))))
+
+
+@lru_cache(4)
+def _odd(n: int) -> np.ndarray:
+    """Odd multipliers, one per minimum."""
+    return np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little")) | 1 for i in range(n)], np.uint64)[:, None]
+
+
+def minima(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of the hashes under each of ``n`` mixings; two sets agree in one as often as they are similar."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(hashes), 1024):
+        part = hashes[start:start + 1024] * _odd(n)
+        part ^= part >> np.uint64(32)
+        part *= _MIX
+        np.minimum(least, part.min(1), out=least)
+    return least
 
 
-def _alike(columns: list[str], similarity: float):
-    """Whether the sets of the sides ``l`` and ``r`` of a join are as similar as that, by bits and sizes."""
-    angle = sum(bits_apart(c) for c in columns) * (pi / (BITS * len(columns)))
-    common = F.cos(angle) * F.sqrt(F.col("l.size").cast("double") * F.col("r.size"))
-    return common >= similarity * (F.col("l.size") + F.col("r.size") - common)
+def _low_bits(least: np.ndarray) -> list[int]:
+    """:data:`LOW_BITS` bits of each minimum, 16 minima to a number."""
+    low = (least >> np.uint64(24)) & np.uint64((1 << LOW_BITS) - 1)
+    low = np.concatenate([low, np.zeros(-len(low) % 16, np.uint64)]).reshape(-1, 16)
+    return np.bitwise_or.reduce(low << (np.arange(16, dtype=np.uint64) * np.uint64(LOW_BITS)), axis=1).view(np.int64).tolist()
 
 
-def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, max_distance: int = 4) -> DataFrame:
-    """``(doc_id, group_id)``: the smallest id of its group for each id; near-duplicates share a group.
+def _minima_apart(columns: list[str]):
+    """Minima whose low bits differ between the sides ``l`` and ``r`` of a join."""
+    ones = F.lit(0x1111111111111111)
 
-    Candidates share a block combination of any of :data:`PRINTS` 64-bit SimHashes of word pairs, cut so that
-    ``max_distance`` differing bits in one of them always leave a shared one; most pairs further apart share
-    one by chance too. Verification compares 1,024-bit SimHashes of the sets of five-word shingles: the share
-    of differing bits gives the angle between two sets, and with their sizes their Jaccard similarity, with
-    a standard error of about 0.025. A pair is accepted at ``similarity`` or more. Documents without words
-    form one group.
+    def different(c: str):
+        x = F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(ones))
+
+    return sum(different(c) for c in columns)
+
+
+def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """``(doc_id, group_id)`` per row of ``docs``: the smallest id of its group; near-duplicates share a group.
+
+    Two texts are near-duplicates if the Jaccard similarity of their sets of five-word shingles is
+    ``similarity`` or more. Pairs are proposed by bands of MinHash values, :func:`bands_for` of them, so a pair
+    just at the limit is proposed with probability 0.99 whatever the number of rows, and a more similar one
+    more surely. Proposed pairs are checked on the whole sets; sizes, and minima five standard errors below
+    the limit, only spare that check. Documents without words form one group.
     """
+    n_bands = bands_for(similarity)
+    n_minima = n_bands * BAND
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text in rows.column(1).to_pylist():
-            words = words_of(text)
-            shingles = np.unique(shingle_hashes(words, 5))
-            pairs = shingle_hashes(words, 2)
-            out.append([len(shingles), *(majority(_mixed(pairs, i)) for i in range(PRINTS)), *_set_sketch(shingles).tolist()])
+            shingles = np.unique(shingle_hashes(words_of(text), 5))
+            least = minima(shingles, n_minima)
+            raw = least.tobytes()
+            found = [xxhash.xxh64_intdigest(raw[8 * BAND * i:8 * BAND * (i + 1)], i) - (1 << 63) for i in range(n_bands)]
+            out.append([xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63), len(shingles), *_low_bits(least), *found])
         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-        return pa.RecordBatch.from_arrays([rows.column(0), *columns], ["doc_id", *key])
+        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *columns], ["doc_id", "text_hash", "node", *key])
 
-    prints, sketch = [f"f{i}" for i in range(PRINTS)], [f"s{i}" for i in range(SKETCH)]
-    key = ["size", *prints, *sketch]
+    low, bands = [f"m{i}" for i in range(-(-n_minima // 16))], [f"b{i}" for i in range(n_bands)]
+    key = ["size", *low, *bands]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}", *(f"{c} long" for c in key)])
-    marked = map_batches(texts(docs), batch, schema).withColumn("node", F.xxhash64(*key))
-    marked = materialize(marked, "prints")
-    nodes = marked.groupBy("node", *key).agg(F.min("doc_id").alias("first"))
+    schema = ", ".join([f"doc_id {kind}, text_hash long", *(f"{c} long" for c in ("node", *key))])
+    docs = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    marked = materialize(map_batches(texts(docs, "text_hash"), batch, schema), "prints")
+    nodes = marked.groupBy("node", *key).agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"))
     nodes = materialize(nodes, "nodes")
-    masks = block_masks(nodes.count(), max_distance)
-    carried = ["size", *sketch[:SKETCH // 2]]
-    keyed = nodes.select("node", *carried, F.posexplode(F.array(*prints)).alias("print", "fp"))
-    keyed = keyed.withColumn("mask", F.explode(F.lit(masks)))
-    keyed = keyed.select(F.xxhash64("print", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("block"), "node", *carried)
+    keyed = nodes.where("size > 0").select("node", "size", *low, F.explode(F.array(*bands)).alias("block"))
     shared = keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
     met = materialize(keyed.join(shared, "block"), "blocks")
 
+    # the sets of one text of each node that met another
+    def shingle_sets(rows: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(words_of(t), 5)).view(np.int64) for t in rows.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("text_hash").alias("of"))
+    chosen = texts(docs, "text_hash").join(wanted, F.col("text_hash") == F.col("of")).select("node", "text")
+    chosen = chosen.dropDuplicates(["node"])
+    sets = materialize(map_batches(chosen, shingle_sets, "node long, shingles array<long>"), "sets")
+
     def accept(pairs: DataFrame) -> DataFrame:
-        sides = nodes.select("node", "size", *sketch)
-        both = pairs.join(sides.alias("l"), F.col("left") == F.col("l.node")).join(sides.alias("r"), F.col("right") == F.col("r.node"))
-        return both.where(_alike(sketch, similarity))
+        both = pairs.join(sets.alias("l"), F.col("left") == F.col("l.node")).join(sets.alias("r"), F.col("right") == F.col("r.node"))
+        common = F.size(F.array_intersect("l.shingles", "r.shingles"))
+        return both.where(common / (F.size("l.shingles") + F.size("r.shingles") - common) >= similarity)
 
-    # one standard error below, of what half of the bits say
-    close = _alike(carried[1:], similarity - 0.035)
+    apart = (1 - similarity) * (1 - 2.0 ** -LOW_BITS)
+    most = n_minima * apart + 5 * sqrt(n_minima * apart * (1 - apart))
+    close = (F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= similarity) & (_minima_apart(low) <= most)
     least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept))
-    return marked.select("doc_id", "node").join(least, "node").groupBy("doc_id").agg(F.min("component_id").alias("group_id"))
+    return marked.select("doc_id", "node").join(least, "node").select("doc_id", F.col("component_id").alias("group_id"))
