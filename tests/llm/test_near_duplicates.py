@@ -40,3 +40,20 @@ def test_pairs_at_the_limit_are_found_wherever_they_differ(spark):
 def test_number_of_bands_gives_the_recall():
     for similarity in (0.5, 0.8, 0.95):
         assert 1 - (1 - similarity ** simhash.BAND) ** simhash.bands_for(similarity) >= simhash.RECALL
+
+
+def test_pairs_are_judged_by_the_sets_themselves(spark):
+    cases = [(4, 0, 1), (5, 0, 1), (12, 0, 3), (42, 5, 5), (3, 0, 1), (11, 0, 3), (42, 5, 6), (79, 10, 10)]
+    rng = np.random.default_rng(2)
+    pairs, of = [], []
+    for n, (common, left, right) in enumerate(cases):
+        for i in range(60):
+            middle = [f"m{n}x{i}x{x}" for x in rng.integers(0, 1 << 30, common + 4)]
+            pairs.append(tuple(" ".join([*(f"{s}{n}x{i}x{k}" for k in range(m)), *middle]) for s, m in (("a", left), ("b", right))))
+            of.append(n)
+    found = linked(spark, pairs)
+    for n, (common, left, right) in enumerate(cases):
+        near = common / (common + left + right) >= 0.8
+        assert all((jaccard(*p) >= 0.8) == near for p, k in zip(pairs, of) if k == n)
+        hits = sum(f for f, k in zip(found, of) if k == n)
+        assert hits >= 57 if near else hits == 0
