@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, islice, repeat
 from zlib import crc32
 
 import numpy as np
@@ -26,8 +26,10 @@ KNOWN = 1 << 18    # words whose counts each task holds; the counts of all other
 HELD = 1 << 18     # different words at which a task hands on its counts
 BLOCK = 4_096      # symbols in one row of partial counts
 SEGMENT = 1 << 16  # tokens after which training starts a sequence anew; scoring never does
-# Shares of the training texts in each round of Baum-Welch: nested growing parts, at last all of them.
+# Shares of the training texts in the first rounds of Baum-Welch: nested growing parts, at last all of them. Rounds
+# over all of them follow until one gains less than SETTLED of the log-likelihood, or MOST have run in all.
 ROUNDS = (1 / 32,) * 6 + (1 / 8,) * 4 + (1.0,)
+SETTLED, MOST = 1e-4, 100
 SLICE = 1 << 22    # tokens whose sequences are grouped by length together, at least one text
 SMOOTHING = 0.1
 PRIOR = 200.0      # pseudo-tokens by overall frequency that each state starts from
@@ -188,7 +190,8 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
 
     ``overall`` is the share of each symbol. Each round sums expected counts within tasks, then over groups
     of tasks, then over groups; the driver sees tables of fixed size. Early rounds read a part of the texts,
-    drawn by a hash of the id, to leave the flat start cheaply; the last reads every training text.
+    drawn by a hash of the id, to leave the flat start cheaply. If the
+    last of ``rounds`` reads every training text, further such rounds follow until the likelihood settles.
     """
     spark = encoded.sparkSession
     rng = np.random.default_rng(seed)
@@ -196,7 +199,8 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
     emit /= emit.sum(0)
     move = np.full((states, states), 0.1 / states) + np.eye(states) * 0.9
     start = np.full(states, 1 / states)
-    for share in rounds:
+    before = None
+    for share in islice(chain(rounds, repeat(rounds[-1])), max(MOST, len(rounds)) if rounds[-1] == 1 else len(rounds)):
         model = spark.sparkContext.broadcast((start, move, emit))
 
         def expect(batches):
@@ -211,15 +215,19 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
         partial = part.mapInArrow(expect, "block int, data binary")
         partial = partial.withColumn("some", F.floor(F.spark_partition_id() / 64))
         got = {r.block: r.data for r in _summed(_summed(partial, "block", "some"), "block").collect()}
+        model.unpersist()
+        head = np.frombuffer(got[-1], np.float64) if got else np.zeros(states)
         if not got:
             break
-        head = np.frombuffer(got[-1], np.float64)
+        loglik = head[-1] if share == 1 else None
         start = head[:states] + 1
         move = head[states:states + states * states].reshape(states, states) + 1
         emit = np.concatenate([np.frombuffer(got[k], np.float32) for k in range(len(got) - 1)]).reshape(-1, states)
         emit = emit.astype(np.float64) + PRIOR * overall[:, None]
         start, move, emit = start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0)
-        model.unpersist()
+        if before is not None and loglik - before < SETTLED * abs(before):
+            break
+        before = loglik
     return start, move, emit
 
 
