@@ -190,7 +190,7 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
 
     ``overall`` is the share of each symbol. Each round sums expected counts within tasks, then over groups
     of tasks, then over groups; the driver sees tables of fixed size. Early rounds read a part of the texts,
-    drawn by a hash of the id, to leave the flat start cheaply. If the
+    drawn by a hash of the id, to leave the flat start cheaply; a part without texts is passed over. If the
     last of ``rounds`` reads every training text, further such rounds follow until the likelihood settles.
     """
     spark = encoded.sparkSession
@@ -217,8 +217,10 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
         got = {r.block: r.data for r in _summed(_summed(partial, "block", "some"), "block").collect()}
         model.unpersist()
         head = np.frombuffer(got[-1], np.float64) if got else np.zeros(states)
-        if not got:
-            break
+        if not head[:states].any():
+            if share == 1:
+                break
+            continue
         loglik = head[-1] if share == 1 else None
         start = head[:states] + 1
         move = head[states:states + states * states].reshape(states, states) + 1

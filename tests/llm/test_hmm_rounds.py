@@ -1,4 +1,4 @@
-"""Baum-Welch reads all training texts until the likelihood settles."""
+"""Baum-Welch reads all training texts until the likelihood settles, and passes over parts without texts."""
 
 from __future__ import annotations
 
@@ -32,3 +32,14 @@ def test_full_rounds_go_on_until_the_likelihood_settles(encoded, monkeypatch):
     monkeypatch.setattr(hmm, "MOST", 2)
     once = likelihood(encoded, hmm.baum_welch(encoded, overall, (0.5, 1.0), states=2))
     assert fitted > once + 0.01 * abs(once)
+
+
+def test_parts_without_texts_keep_the_seeded_start(encoded, monkeypatch):
+    monkeypatch.setattr(hmm, "MOST", 2)
+    overall = np.full(8, 1 / 8)
+    got = hmm.baum_welch(encoded, overall, (0.0, 1.0), states=2)
+    assert np.abs(got[2][:, 0] - got[2][:, 1]).max() > 1e-3
+    monkeypatch.setattr(hmm, "MOST", 1)
+    assert all(np.array_equal(a, b) for a, b in zip(got, hmm.baum_welch(encoded, overall, (1.0,), states=2)))
+    nothing = hmm.baum_welch(encoded.where("false"), overall, (0.5, 1.0), states=2)
+    assert np.abs(nothing[2][:, 0] - nothing[2][:, 1]).max() > 1e-3
