@@ -37,7 +37,8 @@ DROPPED_NAMES = frozenset(
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "body": {"head"}}
 _HOLDS = frozenset("ul ol dl table article main section div body html".split())
-_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong a span br li blockquote pre code q cite u s sub sup small mark td th tr tbody article main".split())
+# in an article these are no templates: parts of a line, cells of a table, and what holds the article
+_PARTS = frozenset("b i em strong a span code q cite u s sub sup small mark td th article main".split())
 
 
 class Element:
@@ -155,31 +156,47 @@ def _host(url: str | None) -> str:
 
 def page_blocks(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """The blocks that page structure keeps, each with the marks of the subtrees it could be a template
-    with, and the marks of all subtrees of the page.
+    with, and the marks of all subtrees of the page."""
+    out, marks, _ = page_parts(page)
+    return out, marks
 
-    If a page has an article, only what lies in articles is kept, and of its subtrees only containers with
-    something other than prose can be templates; repeated paragraphs of articles are the article's.
+
+def page_parts(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[tuple[int, int]]]:
+    """What :func:`page_blocks` gives, and ``(mark, article)`` of the subtrees that articles hold.
+
+    If a page has an article, only what lies in articles is kept, and of its subtrees all but parts of lines
+    and cells of tables can be templates. ``article`` hashes what is kept of the innermost article around.
     """
     blocks, elements = read_page(page)
     kept = [b for b in blocks if not b[1]]
     inside = any(b[2] for b in kept)
     if inside:
         kept = [b for b in kept if b[2]]
-    out = []
+    out, held, around = [], {}, {}
     for text, _, _, above in kept:
         first = next((k for k, e in enumerate(above) if e.main), -1) if inside else -1
-        marks = [e.mark for e in above[first + 1:] if not (inside and e.tag in _PROSE) and e.tag not in ("html", "body")]
-        out.append((text, marks))
-    return out, sorted({e.mark for e in elements})
+        could = [e for e in above[first + 1:] if not (inside and e.tag in _PARTS) and e.tag not in ("html", "body")]
+        out.append((text, [e.mark for e in could]))
+        if inside:
+            article = None
+            for e in above:
+                if e.main:
+                    article = e
+                    held.setdefault(article, xxhash.xxh64()).update(text.encode() + b"\n")
+                elif article is not None and e.tag not in _PARTS:
+                    around[e] = article
+    votes = {(e.mark, held[a].intdigest() - (1 << 63)) for e, a in around.items()}
+    return out, sorted({e.mark for e in elements}), sorted(votes)
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``(page_id, url, text)`` per row of ``pages``: the blocks of the article, one per line.
 
     One pass reads each page, keeps what its structure marks as the article, and hashes all element
-    subtrees. Spark counts the pages per host and subtree; kept blocks inside a subtree that recurs on many
-    pages of the host are removed. Pages whose kept blocks lie in no such candidate are final after the
-    pass, so mostly small hashes are shuffled.
+    subtrees. Spark counts per host the pages that hold a subtree, and for subtrees in articles the different
+    articles that do, so copies of an article have one vote; kept blocks inside a subtree that recurs on many
+    pages of the host, or in many of its articles, are removed. Pages whose kept blocks lie in no such
+    candidate are final after the pass.
 
     Character references are decoded, white space inside a block is one space, nothing else is dropped or
     capped. Null and empty pages have the empty text; a null or malformed url belongs to the host with no
@@ -190,31 +207,41 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                hosts, final, blocks, marks = [], [], [], []
+                hosts, final, blocks, marks, votes, inside = [], [], [], [], [], []
                 for url, page in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    kept, all_marks = page_blocks(page or "")
+                    kept, all_marks, held = page_parts(page or "")
                     hosts.append(_host(url))
                     marks.append(all_marks)
+                    votes.append([{"mark": m, "article": a} for m, a in held])
+                    inside.append(bool(held))
                     done = not any(m for _, m in kept)
                     final.append("\n".join(t for t, _ in kept) if done else None)
                     blocks.append(None if done else [{"text": t, "marks": m} for t, m in kept])
                 kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
+                vote = pa.list_(pa.struct([("mark", pa.int64()), ("article", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(3), part.column(0), part.column(1), pa.array(hosts), pa.array(final, pa.string()), pa.array(blocks, kind), pa.array(marks, pa.list_(pa.int64()))],
-                    ["row", "page_id", "url", "host", "text", "blocks", "marks"])
+                    [part.column(3), part.column(0), part.column(1), pa.array(hosts), pa.array(final, pa.string()), pa.array(blocks, kind), pa.array(marks, pa.list_(pa.int64())),
+                     pa.array(votes, vote), pa.array(inside, pa.bool_())],
+                    ["row", "page_id", "url", "host", "text", "blocks", "marks", "votes", "inside"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     source = pages.select("page_id", "url", "html").withColumn("row", F.monotonically_increasing_id())
     parsed = materialize(source.mapInArrow(
         read, f"row long, page_id {kinds['page_id']}, url string, host string, text string, "
-              "blocks array<struct<text: string, marks: array<bigint>>>, marks array<bigint>"), "pages")
+              "blocks array<struct<text: string, marks: array<bigint>>>, marks array<bigint>, "
+              "votes array<struct<mark: bigint, article: bigint>>, inside boolean"), "pages")
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     seen = parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
     many = seen.where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= min_share * F.col("pages"))
+    votes = parsed.select("host", F.explode("votes").alias("vote")).select("host", "vote.*").distinct()
+    articles = votes.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    held = votes.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    held = held.join(articles, "host").where(F.col("n") >= min_share * F.col("articles"))
+    many = many.select("host", "mark", F.lit(False).alias("inside")).unionByName(held.select("host", "mark", F.lit(True).alias("inside")))
 
     waiting = parsed.where("text is null")
-    asked = waiting.select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
-    hits = asked.join(many.select("host", "mark"), ["host", "mark"]).groupBy("row").agg(F.collect_list("mark").alias("hits"))
+    asked = waiting.select("row", "host", "inside", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
+    hits = asked.join(many, ["host", "mark", "inside"]).groupBy("row").agg(F.collect_list("mark").alias("hits"))
     rest = waiting.join(hits, "row", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<bigint>")))
     left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["marks"], F.col("hits")))
     rest = rest.withColumn("text", F.array_join(F.transform(left, lambda b: b["text"]), "\n"))
