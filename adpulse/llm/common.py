@@ -105,3 +105,8 @@ def most_frequent(table: DataFrame, key: str, most: int) -> pd.DataFrame:
 def doc_crc(column: str = "doc_id"):
     """CRC-32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
+def row_hash(*columns: str):
+    """A hash of these columns of a row; null differs from any value, equal rows have equal hashes."""
+    return F.xxhash64(*(F.col(c) for c in columns), *(F.col(c).isNull() for c in columns))

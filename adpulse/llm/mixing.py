@@ -57,8 +57,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return table.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, seed: str = "mix") -> DataFrame:
-    """``(doc_id, source, size, source_size, target, repeats)`` per row of ``docs``.
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, seed: str = "mix",
+        row: str | None = None) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, repeats)`` per row of ``docs``, and ``row`` if it is named.
 
     A source whose target is r times its size takes every document floor(r) times, and once more those that
     come first in an order by MD5 of the seed and the id, as long as half of a document still fits. So a
@@ -66,14 +67,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     ceil(r) <= ``cap`` times.
 
     Null texts and texts without words have size 0. Ties and repeated rows are ordered by the size and then
-    arbitrarily among equals, which changes no sum. A null source is a source of its own. No rows, or no
+    arbitrarily among equals, which changes no sum. ``row`` names a column of ``docs`` that tells rows apart; the
+    order is then by MD5 of the seed, the id and it, so rows of one id are ordered and dealt like others. A null source is a source of its own. No rows, or no
     words at all: targets are 0. Columns of ``docs`` other than these three are ignored.
     """
-    sizes = materialize(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
+    more = [row] if row else []
+    sizes = materialize(docs.select("doc_id", "source", word_count().alias("size"), *more), "sizes")
     targets = source_targets(sizes, weights, share, cap)
     # slices follow the order, so a source of any size is summed by many tasks
     digits = max(1, ceil(log(max(sizes.count() / SLICE, 1), 16)))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    told = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *(F.concat(F.lit(":"), F.col(c).cast("string")) for c in more)]
+    order = F.md5(F.concat(F.lit(f"{seed}:"), *told).cast("binary"))
     drawn = sizes.withColumn("draw", order).withColumn("slice", F.substring("draw", 1, digits))
     slices = drawn.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     upto = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,4 +91,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     extra = F.col("target") - F.col("whole") * F.col("source_size")
     once_more = (F.col("size") > 0) & (F.col("start") + F.col("sum") + F.col("size") / 2 <= extra)
     placed = placed.withColumn("whole", whole).withColumn("repeats", F.col("whole") + once_more.cast("long"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", "repeats")
+    return placed.select("doc_id", "source", "size", "source_size", "target", "repeats", *more)

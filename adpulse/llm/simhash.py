@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, shingle_hashes, texts, words_of
+from .common import map_batches, materialize, row_hash, shingle_hashes, texts, words_of
 from .components import components
 
 BITS = 64
@@ -193,8 +193,13 @@ def _minima_apart(columns: list[str]):
     return sum(different(c) for c in columns)
 
 
-def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """``(doc_id, group_id)`` per row of ``docs``: the smallest id of its group; near-duplicates share a group.
+def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | None = None) -> DataFrame:
+    """``(doc_id, group_id, row, first)`` per row of ``docs``: near-duplicates share a group.
+
+    ``group_id`` is the smallest id of the group, null if all are null. ``row`` is the column of ``docs`` that
+    tells rows apart, a long (default: a hash of the id and the text). Equal ids, null ones included, don't
+    link rows. ``first`` marks the row with the smallest id and then the smallest ``row``, null ids last, and
+    whatever equals it in both.
 
     Two texts are near-duplicates if the Jaccard similarity of their sets of five-word shingles is
     ``similarity`` or more. Pairs are proposed by bands of MinHash values, :func:`bands_for` of them, so a pair
@@ -214,15 +219,16 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame
             found = [xxhash.xxh64_intdigest(raw[8 * BAND * i:8 * BAND * (i + 1)], i) - (1 << 63) for i in range(n_bands)]
             out.append([xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63), len(shingles), *_low_bits(least), *found])
         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *columns], ["doc_id", "text_hash", "node", *key])
+        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *columns], ["doc_id", "row", "node", *key])
 
     low, bands = [f"m{i}" for i in range(-(-n_minima // 16))], [f"b{i}" for i in range(n_bands)]
     key = ["size", *low, *bands]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}, text_hash long", *(f"{c} long" for c in ("node", *key))])
-    docs = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    marked = materialize(map_batches(texts(docs, "text_hash"), batch, schema), "prints")
-    nodes = marked.groupBy("node", *key).agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"))
+    schema = ", ".join([f"doc_id {kind}, row long", *(f"{c} long" for c in ("node", *key))])
+    docs = docs.select("doc_id", "text", (F.col(row) if row else row_hash("doc_id", "text")).alias("row"))
+    marked = materialize(map_batches(texts(docs, "row"), batch, schema), "prints")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    nodes = marked.groupBy("node", *key).agg(F.min(order).alias("first"))
     nodes = materialize(nodes, "nodes")
     keyed = nodes.where("size > 0").select("node", "size", *low, F.explode(F.array(*bands)).alias("block"))
     shared = keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
@@ -233,8 +239,8 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame
         sets = [np.unique(shingle_hashes(words_of(t), 5)).view(np.int64) for t in rows.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("text_hash").alias("of"))
-    chosen = texts(docs, "text_hash").join(wanted, F.col("text_hash") == F.col("of")).select("node", "text")
+    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("of"))
+    chosen = texts(docs, "row").join(wanted, F.col("row") == F.col("of")).select("node", "text")
     chosen = chosen.dropDuplicates(["node"])
     sets = materialize(map_batches(chosen, shingle_sets, "node long, shingles array<long>"), "sets")
 
@@ -247,4 +253,6 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame
     most = n_minima * apart + 5 * sqrt(n_minima * apart * (1 - apart))
     close = (F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= similarity) & (_minima_apart(low) <= most)
     least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept))
-    return marked.select("doc_id", "node").join(least, "node").select("doc_id", F.col("component_id").alias("group_id"))
+    return marked.select("doc_id", "row", "node").join(least, "node").select(
+        "doc_id", F.col("component_id.doc_id").alias("group_id"), "row",
+        (F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) & (F.col("row") == F.col("component_id.row"))).alias("first"))
