@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, texts
+from .common import map_batches, materialize, texts, words_of
 
 LENGTH = 400
 NAME = 128            # bytes of the string that names a window
@@ -67,7 +67,7 @@ def runs(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
     """``(name, content, start, count)`` of the runs of windows of a text; content hashes all their bytes."""
     none = np.empty(0, np.int64)
     found = [(none.view(np.uint64), none.view(np.uint64), none, none)]
-    name = min(NAME, length)
+    name = min(NAME, max(length // 2, 1))
     width = length - name + 1
     for at in range(0, len(data) - length + 1, PIECE):
         part = data[at:at + PIECE + length - 1]
@@ -276,14 +276,29 @@ def _crowded_windows(segments: DataFrame, length: int) -> DataFrame:
     return every.join(many, ["one", "two"]).select("name", "content", "offset", F.lit(1).cast("long").alias("windows"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, also: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+def _stretches(found, text: bytes, length: int, words: int, whole: int) -> list[tuple[int, int]]:
+    """``(start, stop)`` of the stretches of repeated windows that are long enough, in order."""
+    merged: list[list[int]] = []
+    for s in sorted(found, key=lambda s: s["start"]):
+        stop = s["start"] + s["count"]
+        if merged and s["start"] <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], stop)
+        else:
+            merged.append([s["start"], stop])
+    out = [(start, stop + length - 1) for start, stop in merged]
+    return [(a, b) for a, b in out if not words or b - a >= whole or len(words_of(text[a:b])) >= words]
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, also: tuple[str, ...] = (), as_text: bool = False,
+                   words: int = 0, whole: int = 0) -> DataFrame:
     """``(doc_id, kept, n_bytes, n_removed, n_spans, *also)`` per row; ``kept`` are the bytes that stay.
 
     Each byte goes that lies in a string of ``length`` bytes that also starts elsewhere, in the same document
     or another; every copy goes, judged on the input. Texts are whole UTF-8 byte strings; null and empty ones
     have no byte to lose, nor has a text shorter than ``length``. Repeated rows are copies, so all of a row
     repeated goes if it is long enough. ``as_text`` gives ``kept`` as text, without the rest of a character
-    that a cut has split. No rows: no result. Columns named in ``also`` are handed through, others ignored.
+    that a cut has split. With ``words``, of the stretches in which such strings start at each byte only those
+    go that hold so many words, or ``whole`` bytes. No rows: no result. Columns named in ``also`` are handed through, others ignored.
     """
     spans = repeated_spans(docs, length).select(F.col("digest").alias("what"), "spans")
     both = _packed(docs, also).join(spans, F.col("digest") == F.col("what"), "left").select("doc_id", "packed", "spans", *also)
@@ -299,7 +314,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, also: tuple[str, ...]
                 for packed, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     text = tool.decompress(packed)
                     pieces, end, removed, n = [], 0, 0, 0
-                    for start, stop in sorted((s["start"], s["start"] + s["count"] + length - 1) for s in found or ()):
+                    for start, stop in _stretches(found or (), text, length, words, whole):
                         if start > end or not n:
                             pieces.append(text[end:start])
                             n, removed, end = n + 1, removed + stop - start, stop
