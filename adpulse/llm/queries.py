@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hmm, kdtree, minhash, mixing, packing, pages, simhash, suffix, tokencount, toxicity
+from adpulse.session import shared_folder
+
+from . import align, hmm, kdtree, minhash, mixing, packing, pages, simhash, suffix, tokencount, toxicity, warc, whitening
+from .common import materialize
 
 MAX_TOKENS = 1024
 
@@ -75,10 +78,35 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of every document's tokens under two tokenizers."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = align.link_scores(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return scored.drop("row").withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    path = shared_folder(spark, "llm-warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_warc(spark, path).withColumns({
+        "payload_sha256": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
+    records = materialize(records.drop("payload", "target_uri"), "records")
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+):", 1).try_cast("long")
+    return warc.resolve(records).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"), "problem")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened along the first 16 components."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash, "op2_hmm": op2_hmm, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity,
     "op5_top_k": op5_top_k, "op6_suffix": op6_suffix, "op7_token_counts": op7_token_counts, "op8_packing": op8_packing,
     "op9_mixing": op9_mixing, "op10_html": op10_html,
+    "op11_align": op11_align, "op12_warc": op12_warc, "op13_whitening": op13_whitening,
 }
 
 ORACLES = {

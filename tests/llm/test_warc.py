@@ -1,0 +1,133 @@
+"""Archives: round trips, segments, framing, revisits and what is broken."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+from pyspark.sql import functions as F
+
+from adpulse.llm import queries, warc
+
+LONG = "<p>\r\n\r\nWARC/1.1\r\né</p>" * 3000
+ROWS = [(5, "http://a/ b", "x" * 100), (3, "http://a", "x" * 100), (3, "http://a", "x" * 100), (None, None, "x" * 100), (7, "u", "x" * 99),
+        (8, "u", "x" * 99), (9, "u", None), (10, "u", ""), (11, "u", LONG), (2, "u", LONG), (None, "n", "y" * 200), (None, "n", "y" * 200), (12, "v", "\r\n\r\n0\r\n\r\n")]
+SCHEMA = "page_id long, url string, html string"
+
+
+def read(spark, path):
+    records = warc.read_warc(spark, path)
+    return records.withColumns({"payload_sha256": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
+
+
+def archive(spark, rows, folder, **options):
+    # rows and partitions as a table gives them
+    spark.createDataFrame(rows, SCHEMA).withColumn("payload", F.lit("clash")).repartition(3).write.parquet(f"{folder}/pages")
+    warc.write_warc(spark.read.parquet(f"{folder}/pages"), f"{folder}/warc", **options)
+    return f"{folder}/warc"
+
+
+def test_round_trip(spark, tmp_path):
+    path = archive(spark, ROWS, str(tmp_path))
+    rows = warc.read_warc(spark, path).collect()
+    assert len(rows) == len(ROWS) and not any(r.problem for r in rows)
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    stored = {"responses": sorted(r.payload.decode() for r in rows if r.record_type == "response")}
+    assert stored["responses"] == sorted(["x" * 100, "x" * 99, "x" * 99, "", "", LONG, "y" * 200, "\r\n\r\n0\r\n\r\n"])
+    out = warc.resolve(read(spark, path)).collect()
+    assert not any(r.problem for r in out)
+    assert sorted(r.payload_digest for r in out) == sorted(sha(h) for *_, h in ROWS)
+    assert sum(r.payload_bytes for r in out) == sum(len((h or "").encode()) for *_, h in ROWS)
+    targets = {r.record_id.split(":")[2]: r.refers_to.split(":")[2] for r in out if r.record_type == "revisit"}
+    assert targets == {"5": "3", "3": "3", "": "", "11": "2"} or targets == {"5": "3", "3": "3", "": "3", "11": "2"}
+    assert sum(r.record_type == "revisit" for r in out) == 5
+
+
+def test_files_are_archives(spark, tmp_path):
+    path = archive(spark, ROWS, str(tmp_path), segment=500)
+    data = b"".join(gzip.open(f).read() for f in sorted(tmp_path.glob("warc/*.gz")))
+    found = list(warc.parse(data))
+    assert all(problem is None for *_, problem in found) and data.endswith(b"\r\n\r\n")
+    parts = [f for f, *_ in found if f["warc-type"] == "continuation"]
+    assert parts and all(f["warc-segment-origin-id"].startswith("<urn:page:") and int(f["warc-segment-number"]) > 1 for f in parts)
+    assert sum("warc-segment-total-length" in f for f in parts) == 1  # the long page; its copy is a revisit
+    assert {r.problem for r in warc.read_warc(spark, path).collect()} == {None}
+
+
+def test_every_query_column(spark, tmp_path):
+    (tmp_path / "sf").mkdir()
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(f"{tmp_path}/sf/pages.parquet")
+    rows = queries.op12_warc(spark, f"{tmp_path}/sf").collect()
+    first = {}
+    for page, _, html in sorted((r for r in ROWS if len((r[2] or "").encode()) >= 100), key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(html, page)
+    by_page = {r.page_id: r for r in rows if r.page_id not in (None, 3)}
+    for page, _, html in ROWS:
+        if page in by_page:
+            r, data = by_page[page], (html or "").encode()
+            again = html in first and first[html] != page
+            assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha256(data).hexdigest())
+            assert (r.record_type, r.refers_to) == (("revisit", first[html]) if again else ("response", None))
+    assert sorted(r.record_type for r in rows if r.page_id == 3) == ["response", "revisit"]
+    assert len(rows) == len(ROWS) and not any(r.problem for r in rows)
+
+
+def test_sf_pages(spark):
+    sf = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    first: dict = {}
+    for p in sorted(pages, key=lambda p: p.page_id):
+        if len((p.html or "").encode()) >= 100:
+            first.setdefault(p.html, p.page_id)
+    want = set()
+    for p in pages:
+        data = (p.html or "").encode()
+        again = len(data) >= 100 and first[p.html] != p.page_id
+        want.add((p.page_id, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[p.html] if again else None))
+    got = queries.op12_warc(spark, sf).collect()
+    assert {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got} == want and len(got) == len(pages)
+
+
+def test_empty(spark, tmp_path):
+    path = archive(spark, [], str(tmp_path))
+    assert warc.resolve(read(spark, path)).collect() == []
+
+
+def _file(tmp_path, *records: bytes, plain=True):
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    data = [r + b"\r\n\r\n" for r in records]
+    (folder / "a.warc").write_bytes(b"".join(data) if plain else b"".join(map(gzip.compress, data)))
+    return str(folder)
+
+
+def test_segments_of_others(spark, tmp_path):
+    """Members of their own, segments in any order and twice, a missing segment, a wrong length, broken chunks."""
+    body = b"z" * 3000
+    sha = hashlib.sha256(body).hexdigest()
+    good = warc.records_of("<urn:g>", "u", body, sha, None, 700)
+    lost = warc.records_of("<urn:l>", "u", body, sha, None, 700)
+    wrong = [r.replace(b"Total-Length: ", b"Total-Length: 1") for r in warc.records_of("<urn:w>", "u", body, sha, None, 700)]
+    chunk = warc.records_of("<urn:c>", "u", b"abc", sha, None)[0].replace(b"\r\n3\r\nabc", b"\r\n4\r\nabc")
+    other = warc.records_of("<urn:o>", "u", b"abc", sha, None)[0]
+    lone = warc.records_of("<urn:r>", "u", b"", sha, "<urn:nowhere>")[0]
+    records = [*good[::-1], good[1], *lost[:2], *lost[3:], *wrong, chunk, other, lone]
+    path = _file(tmp_path, *records, plain=False)
+    rows = {r.record_id: r for r in warc.read_warc(spark, path).collect()}
+    assert rows["<urn:g>"].payload == body and rows["<urn:g>"].problem is None
+    assert {k: rows[k].problem for k in ("<urn:l>", "<urn:w>", "<urn:c>", "<urn:o>")} == {
+        "<urn:l>": "segments missing", "<urn:w>": "wrong total length", "<urn:c>": "broken chunks", "<urn:o>": "digest differs"}
+    assert {r.record_id: r.problem for r in warc.resolve(read(spark, path)).collect()}["<urn:r>"] == "no record"
+
+
+def test_cut_archives():
+    whole = warc.records_of("<urn:g>", "u", b"abc" * 100, "0", None)[0] + b"\r\n\r\n"
+    assert [p for *_, p in warc.parse(whole + whole[:-50])] == [None, "cut short"]
+    assert [p for *_, p in warc.parse(whole + b"junk")] == [None, "not a record"]
+    assert [p for *_, p in warc.parse(gzip.compress(whole) + gzip.compress(whole)[:20])][:1] == [None]
+    assert list(warc.parse(b"")) == []
+
+
+def test_framing():
+    for payload in (b"", b"a", b"x" * 10_000, b"\r\n0\r\n\r\n"):
+        assert warc.dechunked(warc.chunked(payload, 7)) == payload
