@@ -9,7 +9,7 @@ from math import ceil, log, log1p, log2, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_batches, materialize, row_hash, shingle_hashes, texts, words_of
 from .components import components
@@ -19,6 +19,8 @@ BITS = 64
 CROWDED = 1024
 # Turns in which all nodes of a block are held against one of them, before those still apart are paired.
 TURNS = 3
+# A block of more nodes that are still apart pairs them by their rarest shingles.
+FEW = 64
 # Near-duplicates: minima in one band, share of the pairs just similar enough that meet in a band, and bits
 # of each minimum that are compared before the sets are.
 BAND, RECALL, LOW_BITS = 6, 0.99, 4
@@ -91,21 +93,25 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     return pairs.unionByName(near.join(stars, "mid").where("a <> node").select("a", F.col("node").alias("b"))).distinct()
 
 
-def pivot_pairs(met: DataFrame, close, accept=lambda pairs: pairs) -> DataFrame:
+def pivot_pairs(met: DataFrame, close, accept=lambda pairs: pairs, crowd=None) -> DataFrame:
     """Edges ``(a, b)`` that connect the nodes of ``met(block, node, ...)`` which meet in a block and are close.
 
     ``close`` is a condition on the sides ``l`` and ``r`` of a pair; ``accept`` filters pairs
     ``(left, right, a, b)`` further by what other tables say of the nodes ``left`` and ``right``. All nodes of
-    a block are first held against its smallest, then against others drawn by a hash anew in each block and
-    turn. Each of :data:`TURNS` turns costs one comparison a row, and only nodes that they leave in different
-    components are paired.
+    a block are first held against that which meets most others in its blocks: among edited copies of a text
+    the text itself, which each is nearer to than to another copy. Then they are held against others drawn by
+    a hash anew in each block and turn. Each of :data:`TURNS` turns costs one comparison a row, and only nodes that they leave in different
+    components are paired: those of a block of at most :data:`FEW` with each other, all others as ``crowd``
+    says, which turns rows ``(node, root, ...)`` into the pairs, sides ``l`` and ``r``, that can be close.
     """
     columns = [c for c in met.columns if c != "block"]
     same_block = F.col("l.block") == F.col("r.block")
     ends = [F.col("l.node").alias("left"), F.col("r.node").alias("right"), F.col("l.root").alias("a"), F.col("r.root").alias("b")]
-    apart, edges = met.withColumn("root", F.col("node")), None
+    sizes = met.groupBy("block").agg(F.count("*").alias("n"))
+    meets = met.select("node", "block").join(sizes, "block").groupBy("node").agg(F.sum("n").alias("meets"))
+    apart, edges = met.withColumn("root", F.col("node")).join(materialize(meets, "meets"), "node"), None
     for turn in range(TURNS):
-        order = F.xxhash64("node", "block", F.lit(turn)) if turn else F.col("node")
+        order = F.xxhash64("node", "block", F.lit(turn)) if turn else -F.col("meets")
         pivot = apart.groupBy("block").agg(F.min(F.struct(order.alias("order"), "root", *columns)).alias("least"))
         pivot = pivot.select("block", "least.*").alias("r")
         found = apart.alias("l").join(pivot, same_block & (F.col("l.root") != F.col("r.root")) & close)
@@ -113,8 +119,37 @@ def pivot_pairs(met: DataFrame, close, accept=lambda pairs: pairs) -> DataFrame:
         edges = materialize(edges.unionByName(found) if edges else found, "stars")
         roots = components(edges).withColumnRenamed("node", "of")
         apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
-    pairs = apart.alias("l").join(apart.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close)
-    return edges.unionByName(accept(pairs.select(ends).distinct()).select("a", "b").distinct())
+    split = apart.groupBy("block").agg(F.count("*").alias("n"), F.min("root").alias("low_root"), F.max("root").alias("high_root"))
+    split = split.where("low_root < high_root").select("block", "n")
+    left = materialize(apart.join(split, "block"), "apart")
+    calm = left.where(F.col("n") <= FEW) if crowd else left
+    pairs = calm.alias("l").join(calm.alias("r"), same_block & (F.col("l.root") < F.col("r.root")) & close).select(ends)
+    if crowd:
+        others = left.where(F.col("n") > FEW).select(*columns, "root").distinct()
+        pairs = pairs.unionByName(crowd(others).where(close).select(ends))
+    return edges.unionByName(accept(pairs.distinct()).select("a", "b").distinct())
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs, sides ``l`` and ``r``, of rows ``(node, root, ...)`` of different roots that can be so similar.
+
+    Sets of m and n members and a Jaccard similarity of t have at least c = ceil(t (m + n) / (1 + t)) in common, so the
+    first common one, in order of rarity, is among the m - c + 1 rarest of one and the n - c + 1 rarest of the other.
+    Members that no other of the nodes has come first, so a node with more of them than that meets none: a crowd of
+    texts that share most of their shingles and still are not near costs little more than its shingles.
+    """
+    members = sets.join(nodes.select("node"), "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    members = materialize(members, "members")
+    # a second column that follows from the first: a common shingle's partition can be split in the join
+    follows = F.pmod(F.col("shingle"), F.lit(2)).alias("half")
+    often = members.groupBy("shingle", follows).agg(F.count("*").alias("often")).drop("half")
+    order = Window.partitionBy("node").orderBy("often", "shingle")
+    first = members.join(often, "shingle").withColumn("place", F.row_number().over(order))
+    first = first.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("often") > 1))
+    first = materialize(first.select("node", "n", "shingle", "place").join(nodes, "node"), "prefixes")
+    common = F.ceil((F.col("l.n") + F.col("r.n")) * (similarity / (1 + similarity)) - 1e-9)
+    early = (F.col("l.place") <= F.col("l.n") - common + 1) & (F.col("r.place") <= F.col("r.n") - common + 1)
+    return first.alias("l").join(first.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.root") < F.col("r.root")) & early)
 
 
 def bits_apart(column: str):
@@ -252,7 +287,7 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     apart = (1 - similarity) * (1 - 2.0 ** -LOW_BITS)
     most = n_minima * apart + 5 * sqrt(n_minima * apart * (1 - apart))
     close = (F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= similarity) & (_minima_apart(low) <= most)
-    least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept))
+    least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept, lambda crowd: prefix_pairs(crowd, sets, similarity)))
     return marked.select("doc_id", "row", "node").join(least, "node").select(
         "doc_id", F.col("component_id.doc_id").alias("group_id"), "row",
         (F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) & (F.col("row") == F.col("component_id.row"))).alias("first"))

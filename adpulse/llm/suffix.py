@@ -286,7 +286,15 @@ def _stretches(found, text: bytes, length: int, words: int, whole: int) -> list[
         else:
             merged.append([s["start"], stop])
     out = [(start, stop + length - 1) for start, stop in merged]
-    return [(a, b) for a, b in out if not words or b - a >= whole or len(words_of(text[a:b])) >= words]
+    return [(a, b) for a, b in out if not words or b - a >= whole or _whole_words(text, a, b) >= words]
+
+
+def _whole_words(text: bytes, start: int, stop: int) -> int:
+    """Words of ``text`` that lie wholly between two places."""
+    inside = words_of(text[start:stop])
+    cut = [bool(inside) and not text[a:a + 1].isspace() and not text[b:b + 1].isspace()
+           for a, b in ((start - 1, start), (stop - 1, stop)) if 0 <= a and b < len(text)]
+    return max(0, len(inside) - sum(cut))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, also: tuple[str, ...] = (), as_text: bool = False,
@@ -298,7 +306,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, also: tuple[str, ...]
     have no byte to lose, nor has a text shorter than ``length``. Repeated rows are copies, so all of a row
     repeated goes if it is long enough. ``as_text`` gives ``kept`` as text, without the rest of a character
     that a cut has split. With ``words``, of the stretches in which such strings start at each byte only those
-    go that hold so many words, or ``whole`` bytes. No rows: no result. Columns named in ``also`` are handed through, others ignored.
+    go that hold so many whole words, or ``whole`` bytes. No rows: no result. Columns named in ``also`` are handed through, others ignored.
     """
     spans = repeated_spans(docs, length).select(F.col("digest").alias("what"), "spans")
     both = _packed(docs, also).join(spans, F.col("digest") == F.col("what"), "left").select("doc_id", "packed", "spans", *also)

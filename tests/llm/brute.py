@@ -63,5 +63,30 @@ def without_repeats(texts: list[str | None], length: int) -> list[tuple[int, int
     return out
 
 
+def without_passages(texts: list[str | None], length: int, least_words: int, whole: int) -> list[str | None]:
+    """Each text without its stretches of repeated ``length``-byte strings that hold so many whole words or ``whole`` bytes; None: all gone."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        starts = [i for i in range(len(d) - length + 1) if seen[d[i:i + length]] > 1]
+        gone = bytearray(len(d))
+        for k, i in enumerate(starts):
+            if k and starts[k - 1] == i - 1:
+                continue
+            last = k
+            while last + 1 < len(starts) and starts[last + 1] == starts[last] + 1:
+                last += 1
+            a, b = i, starts[last] + length
+            spaces = b" \t\n\v\f\r"
+            at = [x for x in range(a, b) if d[x] not in spaces and (x == 0 or d[x - 1] in spaces)]
+            ends = [next((y for y in range(x, len(d)) if d[y] in spaces), len(d)) for x in at]
+            if b - a >= whole or sum(y <= b for y in ends) >= least_words:
+                gone[a:b] = b"\1" * (b - a)
+        kept = bytes(x for x, g in zip(d, gone) if not g)
+        out.append(kept.decode("utf-8", "ignore") if kept or not d else None)
+    return out
+
+
 def crc(doc_id) -> int:
     return zlib.crc32(str(doc_id).encode() if doc_id is not None else b"")

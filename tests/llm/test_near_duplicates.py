@@ -57,3 +57,51 @@ def test_pairs_are_judged_by_the_sets_themselves(spark):
         assert all((jaccard(*p) >= 0.8) == near for p, k in zip(pairs, of) if k == n)
         hits = sum(f for f, k in zip(found, of) if k == n)
         assert hits >= 57 if near else hits == 0
+
+
+def test_a_crowd_of_unlike_texts_costs_no_pairs(spark):
+    """20,000 sets share four fifths of their members and none is near another, but for 50 planted pairs."""
+    from pyspark.sql import functions as F
+
+    shared = F.sequence(F.lit(1), F.lit(100))
+    own = lambda c: F.transform(F.sequence(F.lit(0), F.lit(24)), lambda i: F.xxhash64(c, i))
+    sets = spark.range(20_000).select(F.col("id").alias("node"), F.concat(shared, own(F.col("id"))).alias("shingles"))
+    twins = sets.where("node < 50").select(
+        (F.col("node") + 100_000).alias("node"), F.concat(F.slice("shingles", 1, 120), F.array(F.xxhash64("node"))).alias("shingles"))
+    sets = sets.unionByName(twins)
+    nodes = sets.select("node", F.col("node").alias("root"))
+    pairs = simhash.prefix_pairs(nodes, sets, 0.8).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().collect()
+    assert {(i, i + 100_000) for i in range(50)} <= {(r.a, r.b) for r in pairs} and len(pairs) <= 2000
+
+
+def test_prefix_pairs_lose_none(spark):
+    rng = np.random.default_rng(9)
+    base = [int(x) for x in rng.integers(0, 1 << 40, 60)]
+    sets = {}
+    for i in range(150):
+        kept = [x for x in base if rng.random() > rng.choice([0.02, 0.05, 0.1])]
+        sets[i] = set(kept + [int(x) for x in rng.integers(0, 1 << 40, int(rng.integers(0, 8)))])
+    near = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node long, shingles array<long>")
+    found = simhash.prefix_pairs(frame.selectExpr("node", "node AS root"), frame, 0.8).selectExpr("l.node AS a", "r.node AS b").distinct().collect()
+    assert len(near) > 100 and near <= {(r.a, r.b) for r in found}
+
+
+def test_edited_copies_of_a_copy_are_one_group(spark):
+    """Copies that are near the text they come from and not each other, more than a block pairs with itself."""
+    rng = np.random.default_rng(10)
+    words = [f"w{x}" for x in rng.integers(0, 50_000, 150)]
+    rows = [(5000, " ".join(words))]
+    for i in range(300):
+        other = list(words)
+        for at in rng.choice(145, 3, replace=False):
+            other[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(other)))
+    for i in range(300):  # six words changed: near to nothing
+        other = list(words)
+        for at in range(10 + i % 15, 150, 22):
+            other[at] = f"m{i}x{at}"
+        rows.append((10_000 + i, " ".join(other)))
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i] == 0 for i, _ in rows[:301]) >= 0.98 * 301  # each is proposed with probability 0.99
+    assert all(got[i] == i for i, _ in rows[301:])
