@@ -100,10 +100,10 @@ def _covered(events: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     )
 
 
-def _batch_partials(
+def _batch_blocks(
     events: DataFrame, side: Side, size_ms: int, slide_ms: int, grain: str, unique: str
 ) -> DataFrame:
-    """Steps 1 and 2, then one row per window with ``window_start`` as epoch micros."""
+    """Steps 1 and 2: rows per block, whose ``_windows`` are the bits of the windows they belong to."""
     dims, keys = _dims(side), _keys(side, grain)
     columns = ["timestamp", "user_id", *dims, *side.price_columns]
     covered = _covered(events.select(*columns), size_ms, slide_ms)
@@ -111,19 +111,29 @@ def _batch_partials(
     measures = [F.bit_or("_bits").alias("_windows"), *_measures(side, F.col("timestamp"), unique)]
     if unique == "exact":
         by_user = ["_block", *keys, "user_id"]
-        grouped = covered.groupingSets([by_dims, by_user], *by_dims, "user_id").agg(
+        return covered.groupingSets([by_dims, by_user], *by_dims, "user_id").agg(
             *measures, (F.grouping("user_id") == 0).alias("is_user")
         )
-    else:
-        grouped = covered.groupBy(*by_dims).agg(*measures, F.lit(False).alias("is_user")).withColumn("user_id", F.lit(None))
+    return covered.groupBy(*by_dims).agg(*measures, F.lit(False).alias("is_user")).withColumn("user_id", F.lit(None))
+
+
+def _unpacked(blocks: DataFrame, slide_ms: int) -> DataFrame:
+    """One row per window of a block's row, with ``window_start`` as epoch micros."""
     offsets = ", ".join(str(i) for i in range(BLOCK))
     return (
-        grouped.selectExpr("*", f"explode(array({offsets})) AS _offset")
+        blocks.selectExpr("*", f"explode(array({offsets})) AS _offset")
         .filter("getbit(_windows, _offset) = 1")
         .withColumn("window_start", F.expr(f"(_block * {BLOCK} + _offset) * {slide_ms * 1000}L"))
     )
 
 
+def _batch_partials(
+    events: DataFrame, side: Side, size_ms: int, slide_ms: int, grain: str, unique: str
+) -> DataFrame:
+    """Steps 1 and 2, then one row per window with ``window_start`` as epoch micros."""
+    return _unpacked(_batch_blocks(events, side, size_ms, slide_ms, grain, unique), slide_ms)
+
+
 def window_state(
     events: DataFrame,
     side: str | Side,
@@ -156,9 +166,9 @@ def window_state(
     return grouped.withColumn("window_start", F.unix_micros("_window.start")).drop("_window")
 
 
-def _totals(partials: DataFrame, side: Side, grain: str, unique: str) -> DataFrame:
-    """Step 3: add up per window and key."""
-    keys, dims = ["window_start", *_keys(side, grain)], ["window_start", *_dims(side)]
+def _totals(partials: DataFrame, side: Side, grain: str, unique: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """Step 3: add up per window and key. Columns in ``also`` belong to the window."""
+    keys, dims = ["window_start", *also, *_keys(side, grain)], ["window_start", *also, *_dims(side)]
     # per dimension first: numeric buffers only, so this large step is a hash aggregation
     per_dim = partials.groupBy(*dims).agg(
         F.expr("sum(CASE WHEN is_user THEN 0 ELSE n END) AS n"),
@@ -235,19 +245,17 @@ _OWN_COLUMNS = {
 }
 
 
-def _record(
-    totals: DataFrame, side: Side, size_ms: int, slide_ms: int, grain: str, labels: str, budget_exhausted: bool
-) -> DataFrame:
+def _record(totals: DataFrame, side: Side, label: str, end_micros: str, grain: str, budget_exhausted: bool) -> DataFrame:
     """Lay totals out as a flat metric row. What a side does not keep is zero."""
     totals = totals.withColumns({
         name: F.expr(value)
         for name, value in {"views": "0L", "total_revenue": "0D", "total_spend": "0D"}.items()
         if name not in side.counters and name not in side.money
     })
-    start, end = "timestamp_micros(window_start)", f"timestamp_micros(window_start + {size_ms * 1000})"
+    start, end = "timestamp_micros(window_start)", f"timestamp_micros({end_micros})"
     columns = [
         f"{start} AS window_start", f"{end} AS window_end",
-        f"'{window_label(size_ms, slide_ms, labels)}' AS window_type",
+        f"'{label}' AS window_type",
         # whole seconds of the end minus whole seconds of the start
         f"unix_seconds({end}) - unix_seconds({start}) AS duration_seconds",
         "campaign_id", "advertiser_id", *(["action"] if grain == "action" else []),
@@ -275,7 +283,27 @@ def finish(
     side, slide_ms = side_of(side), slide_ms or size_ms
     _check(size_ms, slide_ms, grain, unique)
     totals = _totals(partials, side, grain, unique)
-    return _record(totals, side, size_ms, slide_ms, grain, labels, budget_exhausted)
+    return _record(totals, side, window_label(size_ms, slide_ms, labels), _end(size_ms), grain, budget_exhausted)
+
+
+def _end(size_ms: int) -> str:
+    return f"window_start + {size_ms * 1000}L"
+
+
+def _direct_totals(events: DataFrame, side: Side, keys: list, users: str) -> DataFrame:
+    """All counters and sums per key in one aggregation; ``users`` is the expression that counts users."""
+    aggs = ["count(1) AS event_count"]
+    for name, actions in side.counters.items():
+        aggs.append(f"count_if(action IN {_in(actions)}) AS {name}")
+    for name, money in side.money.items():
+        amount = money.column
+        if money.actions is not None:
+            amount = f"CASE WHEN action IN {_in(money.actions)} THEN {amount} END"
+        aggs.append(f"coalesce(sum({amount}), 0D) AS {name}")
+    if side.first_seen:
+        aggs.append(f"min(struct(timestamp, {', '.join(side.first_seen)})) AS seen")
+    aggs.append(f"{users} AS unique_users")
+    return events.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr("*", *[f"seen.{c} AS {c}" for c in side.first_seen])
 
 
 def window_updates(
@@ -297,21 +325,9 @@ def window_updates(
     if unique != "approx":
         raise ValueError('update mode needs unique="approx"')
     window = F.window("timestamp", f"{size_ms} milliseconds", f"{slide_ms} milliseconds").alias("_window")
-    aggs = ["count(1) AS event_count"]
-    for name, actions in side.counters.items():
-        aggs.append(f"count_if(action IN {_in(actions)}) AS {name}")
-    for name, money in side.money.items():
-        amount = money.column
-        if money.actions is not None:
-            amount = f"CASE WHEN action IN {_in(money.actions)} THEN {amount} END"
-        aggs.append(f"coalesce(sum({amount}), 0D) AS {name}")
-    if side.first_seen:
-        aggs.append(f"min(struct(timestamp, {', '.join(side.first_seen)})) AS seen")
-    aggs.append("hll_sketch_estimate(hll_sketch_agg(user_id)) AS unique_users")
-    totals = events.groupBy(window, *_keys(side, grain)).agg(*[F.expr(a) for a in aggs]).selectExpr(
-        "*", "unix_micros(_window.start) AS window_start", *[f"seen.{c} AS {c}" for c in side.first_seen]
-    )
-    return _record(totals, side, size_ms, slide_ms, grain, labels, False)
+    users = "hll_sketch_estimate(hll_sketch_agg(user_id))"
+    totals = _direct_totals(events, side, [window, *_keys(side, grain)], users).withColumn("window_start", F.unix_micros("_window.start"))
+    return _record(totals, side, window_label(size_ms, slide_ms, labels), _end(size_ms), grain, False)
 
 
 def windowed_metrics(

@@ -20,8 +20,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def adapt(events: DataFrame, side: str | Side) -> DataFrame:
-    """Project the table (or a stream of it) to the event schema of a side."""
+def adapt(events: DataFrame, side: str | Side, also: tuple[str, ...] = ()) -> DataFrame:
+    """Project the table (or a stream of it) to the event schema of a side, and the columns in ``also``."""
     side = side_of(side)
     ssp = side.name == "ssp"
 
@@ -59,4 +59,4 @@ def adapt(events: DataFrame, side: str | Side) -> DataFrame:
             "budget_remaining": unless("500 - value", (139, "-value")),
             "targeting_segments": "array(event_type)",
         }
-    return events.selectExpr(*[f"{columns[f.name]} AS {f.name}" for f in side.event.fields])
+    return events.selectExpr(*[f"{columns[f.name]} AS {f.name}" for f in side.event.fields], *also)

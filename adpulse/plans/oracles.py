@@ -49,7 +49,7 @@ def _adapted(side: str) -> str:
         _case("advertiser_id", {157: "''"}, "'adv-' || ((event_id // 9) % 3)"),
         _case("user_id", {163: "''"}, "'user-' || user_id"),
         _case("action", {127: foreign}, f"([{actions}])[(event_id % 9) + 1]"),
-        "json_extract_string(props, '$.k') AS k",
+        "json_extract_string(props, '$.k') AS k", f"{squeezed} AS raw_us",
     ]
     if ssp:
         columns += [
@@ -113,11 +113,15 @@ def _total(column: str, action: str) -> str:
 
 def _windowed(
     side: str, size_ms: int, slide_ms: int | None = None, campaign: bool = False, label: str | None = None,
-    budget: bool = False,
+    budget: bool = False, placed: str | None = None,
 ) -> str:
+    """Metrics per window. ``placed`` gives other tables, of which ``windowed`` holds each row once per window it counts in,
+    with ``start_us``, and ``end_us`` where windows are not all of one length."""
     slide_us, copies = (slide_ms or size_ms) * 1000, size_ms // (slide_ms or size_ms)
     label = label or ("TUMBLING_1MIN" if size_ms <= 60_000 else "TUMBLING_5MIN" if size_ms <= 300_000 else "TUMBLING_1HOUR")
     keys = ["campaign_id"] + (["advertiser_id"] if side == "dsp" else []) + ([] if campaign else ["action"])
+    bounds = ["start_us", "end_us"] if placed and "end_us" in placed else ["start_us"]
+    end = bounds[-1] if len(bounds) > 1 else f"(start_us + {size_ms * 1000})"
     shared = [
         "count(*) AS event_count", "count(DISTINCT user_id) AS unique_users",
         f"{_count('IMPRESSION')} AS impressions", f"{_count('CLICK')} AS clicks", f"{_count('CONVERSION')} AS conversions",
@@ -155,8 +159,8 @@ def _windowed(
             f"{_round('clearing_sum')} AS total_budget_spent",
         ] + (["budget_exhausted"] if budget else [])
     columns = [
-        "make_timestamp(start_us) AS window_start", f"make_timestamp(start_us + {size_ms * 1000}) AS window_end",
-        f"'{label}' AS window_type", f"{size_ms // 1000}::bigint AS duration_seconds",
+        "make_timestamp(start_us) AS window_start", f"make_timestamp({end}) AS window_end",
+        f"'{label}' AS window_type", f"({end} // 1000000 - start_us // 1000000)::bigint AS duration_seconds",
         "campaign_id", "advertiser_id", *([] if campaign else ["action"]),
         "impressions", "clicks", "conversions", "views",
         f"{_round('total_revenue')} AS total_revenue", f"{_round('total_spend')} AS total_spend",
@@ -167,12 +171,13 @@ def _windowed(
         f"{_quotient('total_spend', 'conversions')} AS cost_per_conversion",
         *own,
     ]
-    return f"""WITH {_coded(side)},
+    placed = placed or f"""{_coded(side)},
 windowed AS (
   SELECT *, (us // {slide_us} - copy) * {slide_us} AS start_us
   FROM coded, range({copies}) AS copies(copy) WHERE reject_code IS NULL
-),
-summed AS (SELECT start_us, {', '.join(keys)}, {', '.join(sums)} FROM windowed GROUP BY start_us, {', '.join(keys)})
+)"""
+    return f"""WITH {placed},
+summed AS (SELECT {', '.join([*bounds, *keys])}, {', '.join(sums)} FROM windowed GROUP BY {', '.join([*bounds, *keys])})
 SELECT {', '.join(columns)} FROM summed"""
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..session import require_utc
 from ..sources.files import PARTITIONS
@@ -40,3 +41,10 @@ def write_archive(
     require_utc(rows.sparkSession)
     by_hour = rows.hint("rebalance", *PARTITIONS)
     by_hour.write.mode(mode).options(**(options or {})).partitionBy(*PARTITIONS).parquet(path)
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str], file_format: str = "parquet") -> DataFrame:
+    """Of the rows written by :func:`batch_files`, per ``keys`` the one of the last batch that has it."""
+    rows = spark.read.format(file_format).load(path)
+    last = F.max("batch_id").over(Window.partitionBy(*keys))
+    return rows.withColumn("_last", last).where("batch_id = _last").drop("batch_id", "_last")

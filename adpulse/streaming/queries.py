@@ -6,10 +6,12 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators import finish, observe_rejects, rejected, to_archive, valid_events, validate, window_state
+from ..operators import (
+    deduplicate, finish, observe_rejects, rejected, session_updates, to_archive, valid_events, validate, window_state, with_mapping,
+)
 from ..operators.metrics import window_updates
 from ..schemas import Side, side_of
 from ..session import exact_late_boundary, require_utc
@@ -109,3 +111,59 @@ def archive_query(
         .options(**(options or {})).option("path", path).partitionBy(*PARTITIONS)
     )
     return _start(writer, name, checkpoint, trigger or {"processingTime": "60 seconds"})
+
+
+def session_query(
+    events: DataFrame,
+    side: str | Side,
+    sink: Sink,
+    checkpoint: str,
+    name: str = "sessions",
+    gap_ms: int = 1_800_000,
+    delay_ms: int = 60_000,
+    grain: str = "action",
+    as_of: AsOf = None,
+    trigger: Mapping[str, Any] | None = None,
+) -> StreamingQuery:
+    """Validate a stream of events and publish a row per session when nothing can join it any more."""
+    require_utc(events.sparkSession)
+    good = valid_events(events, side, as_of).withWatermark("timestamp", f"{delay_ms} milliseconds")
+    writer = session_updates(good, side, gap_ms, grain).writeStream.outputMode("append").foreachBatch(sink)
+    with exact_late_boundary(events.sparkSession):
+        return _start(writer, name, checkpoint, trigger or {"processingTime": "60 seconds"})
+
+
+def mapping_query(
+    events: DataFrame,
+    mappings: Callable[[SparkSession], DataFrame],
+    sink: Sink,
+    checkpoint: str,
+    name: str = "mapping",
+    trigger: Mapping[str, Any] | None = None,
+) -> StreamingQuery:
+    """Add to each event of a stream its mapping, from a table that ``mappings`` reads anew for every batch.
+
+    A static frame joined to the stream would keep the list of files it had when the query started.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        sink(with_mapping(batch, mappings(batch.sparkSession)), batch_id)
+
+    writer = events.writeStream.outputMode("append").foreachBatch(publish)
+    return _start(writer, name, checkpoint, trigger or {"processingTime": "60 seconds"})
+
+
+def dedup_query(
+    messages: DataFrame,
+    sink: Sink,
+    checkpoint: str,
+    event_time: str,
+    delay: str,
+    value: str = "value",
+    name: str = "dedup",
+    trigger: Mapping[str, Any] | None = None,
+) -> StreamingQuery:
+    """Publish each message of a stream once within ``delay`` of event time; state holds a hash per message so long."""
+    once = deduplicate(messages, value, event_time, delay)
+    writer = once.writeStream.outputMode("append").foreachBatch(sink)
+    return _start(writer, name, checkpoint, trigger or {"processingTime": "60 seconds"})
