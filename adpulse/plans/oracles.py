@@ -334,7 +334,6 @@ def oracles() -> dict[str, str]:
             f"json_decode_errors_{side}":
                 f"{_decoded(side)} SELECT decode_error, count(*) AS messages FROM decoded GROUP BY decode_error",
             f"stream_equals_batch_{side}": _windowed(side, minute),
-            f"stream_sliding_{side}": _windowed(side, five, minute),
             f"stream_dead_letters_{side}": _dead_letters(side),
             f"stream_archive_{side}": _archive_rows(side),
         }

@@ -423,7 +423,6 @@ def registry() -> dict[str, Query]:
             f"json_decode_{side}": _json_decode(side),
             f"json_decode_errors_{side}": _json_decode_errors(side),
             f"stream_equals_batch_{side}": _stream_metrics(side, MINUTE),
-            f"stream_sliding_{side}": _stream_metrics(side, FIVE_MINUTES, MINUTE),
             f"stream_dead_letters_{side}": _stream_dead_letters(side),
             f"stream_archive_{side}": _stream_archive(side),
         }

@@ -96,12 +96,13 @@ def oracles() -> dict[str, str]:
             f"stream_update_{side}": _windowed(side, 60_000),
             f"stream_late_{side}": _late(side),
             f"stream_late_metrics_{side}": _both(side, part=_LATE_PART),
-            f"stream_restart_{side}": _both(side),
-            f"stream_observed_rejects_{side}": _observed(side),
-            f"stream_job_dead_letters_{side}": _dead(side),
+            f"stream_sliding_{side}": _windowed(side, 300_000, 60_000),
         }
     mappings = "SELECT l_orderkey::varchar AS event_id, min(l_returnflag) AS mapping FROM lineitem GROUP BY 1"
     return out | {
+        "stream_restart_ssp": _both("ssp"),
+        "stream_observed_rejects_ssp": _observed("ssp"),
+        "stream_job_dead_letters_ssp": _dead("ssp"),
         "stream_lagging_source_max": _both("ssp", "max", "eid % 2", part=_LAGGING_PART),
         "stream_lagging_source_min": _both("ssp", "min", "eid % 2", part=_LAGGING_PART),
         "stream_mapping_join":

@@ -47,6 +47,21 @@ def _stream_session(side: str) -> Query:
     return run
 
 
+def _stream_sliding(side: str) -> Query:
+    """Sliding windows of a stream, rolled up from panes."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        out = shared_folder(spark, f"sliding-{side}")
+        panes_query(
+            _flushed_stream(spark, sf_dir, side, f"{out}/flush"), side, batch_files(f"{out}/rows"), f"{out}/checkpoint", basename(out),
+            ((FIVE_MINUTES, MINUTE),), lateness_ms=0, as_of=_as_of(), trigger=NOW_ONLY,
+        ).awaitTermination()
+        return present(read_batches(spark, f"{out}/rows").where(F.col("campaign_id") != FLUSH_ID))
+
+    return run
+
+
 def _panes(side: str, size_ms: int, slide_ms: int | None = None) -> Query:
     """Two loads, each of half the events, leave pane partials in one table, from which the windows are rolled up."""
 
@@ -115,8 +130,8 @@ def _arriving(side: str, result: Callable, late: bool = False, sources: bool = F
         def go() -> None:
             query = panes_query(
                 arrivals.stream(), side, batch_files(f"{out}/rows"), f"{out}/checkpoint", basename(out), as_of=_as_of(), trigger=NOW_ONLY,
-                dead_letters=batch_files(f"{out}/dead"), late=batch_files(f"{out}/late"),
-                **({"source": F.col("source")} if sources else {}), **options)
+                dead_letters=batch_files(f"{out}/dead") if result is _dead else None, late=batch_files(f"{out}/late") if result is _late else None,
+                source=F.col("source") if sources else None, **options)
             query.awaitTermination()
             progress.extend(query.recentProgress)
 
@@ -194,11 +209,12 @@ def registry() -> dict[str, Query]:
             f"stream_update_{side}": _arriving(side, _latest, late=True, windows=BOTH[:1], early=True, lateness_ms=HOUR),
             f"stream_late_{side}": _arriving(side, _late, late=True),
             f"stream_late_metrics_{side}": _arriving(side, _latest, late=True),
-            f"stream_restart_{side}": _arriving(side, _latest, restart=True),
-            f"stream_observed_rejects_{side}": _arriving(side, _observed),
-            f"stream_job_dead_letters_{side}": _arriving(side, _dead),
+            f"stream_sliding_{side}": _stream_sliding(side),
         }
     return out | {
+        "stream_restart_ssp": _arriving("ssp", _latest, restart=True),
+        "stream_observed_rejects_ssp": _arriving("ssp", _observed),
+        "stream_job_dead_letters_ssp": _arriving("ssp", _dead),
         "stream_lagging_source_max": _arriving("ssp", _latest, sources=True, policy="max"),
         "stream_lagging_source_min": _arriving("ssp", _latest, sources=True, policy="min"),
         "stream_mapping_join": stream_mapping_join,

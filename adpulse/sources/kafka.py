@@ -9,6 +9,7 @@ from ..config import Settings
 from ..schemas import Side, side_of
 
 INGEST_TIME = "ingest_time"
+PARTITION = "topic_partition"
 
 
 def source_options(settings: Settings, side: str | Side, storage: bool = False) -> dict[str, str]:
@@ -32,6 +33,6 @@ def source_options(settings: Settings, side: str | Side, storage: bool = False)
 
 
 def read_topic(spark: SparkSession, settings: Settings, side: str | Side, storage: bool = False) -> DataFrame:
-    """The raw messages of a topic as a stream: ``value`` and the broker's ``ingest_time``."""
+    """The raw messages of a topic as a stream: ``value``, the broker's ``ingest_time`` and the ``topic_partition``."""
     raw = spark.readStream.format("kafka").options(**source_options(settings, side, storage)).load()
-    return raw.select("value", F.col("timestamp").alias(INGEST_TIME))
+    return raw.select("value", F.col("timestamp").alias(INGEST_TIME), F.col("partition").alias(PARTITION))

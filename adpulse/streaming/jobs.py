@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,38 +14,49 @@ from ..config import Settings
 from ..schemas import Side, side_of
 from ..session import configure
 from ..sinks import kafka_dead_letters, kafka_metrics
-from ..sources import decode, read_topic
-from ..sources.kafka import INGEST_TIME
-from .queries import AsOf, Sink, archive_query, dead_letter_query, metrics_query
+from ..sources import decode_with_errors, observe_decode, read_topic
+from ..sources.kafka import INGEST_TIME, PARTITION
+from .panes import panes_query
+from .queries import AsOf, Sink, archive_query
 
 MODES = ("aggregation", "storage", "all")
+IDLE_MS = 30_000  # fixed value: a partition without news for so long holds no watermark
 
 
 @dataclass(frozen=True)
 class Edges:
     """Where a job reads and writes. The default is Kafka; tests and backfills use files.
 
-    ``events(storage)`` gives a stream of decoded events; ``as_of`` is the "now" of validation.
+    ``events(storage)`` gives a stream of decoded events; ``as_of`` is the "now" of validation. ``late`` gets events that
+    came after their windows, ``source`` tells the partitions of a topic apart.
     """
 
     events: Callable[[bool], DataFrame]
     metrics: Sink
     dead_letters: Sink
     as_of: AsOf = None
+    late: Sink | None = None
+    source: Column | None = None
 
 
 def kafka_edges(spark: SparkSession, settings: Settings, side: str | Side) -> Edges:
     """Read the topic of the side, write its metrics topic and the dead letter topic.
 
-    Events are judged against the broker's ingest time. The queries read the topic independently and
-    at different moments; by wall clock an event could be rejected by one and accepted by another.
+    Events are judged against the broker's ingest time, so aggregation and archive judge an event alike. Messages that
+    are no events are dropped and counted, as the observed metric ``decode``.
     """
     side = side_of(side)
+
+    def events(storage: bool) -> DataFrame:
+        messages = decode_with_errors(read_topic(spark, settings, side, storage), side)
+        return observe_decode(messages).where("decode_error IS NULL").drop("decode_error", "value")
+
     return Edges(
-        events=lambda storage: decode(read_topic(spark, settings, side, storage), side),
+        events=events,
         metrics=kafka_metrics(settings, side.name),
         dead_letters=kafka_dead_letters(settings, side.name),
         as_of=F.col(INGEST_TIME),
+        source=F.col(PARTITION),
     )
 
 
@@ -67,12 +78,13 @@ def start(
     edges: Edges | None = None,
     trigger: Mapping[str, Any] | None = None,
 ) -> list[StreamingQuery]:
-    """Start the queries of a side: ``aggregation`` (dead letters, tumbling, sliding), ``storage``
+    """Start the queries of a side: ``aggregation`` (dead letters, tumbling and sliding windows), ``storage``
     (archive) or ``all``.
 
-    Each query has its own checkpoint, hence its own progress, and a trigger of one checkpoint
-    interval. After a restart it resumes from there; late rows, state and offsets are kept exactly
-    once, files of the archive too, Kafka output at least once.
+    Aggregation reads, decodes and validates the topic once, for all its outputs. The archive is a query of its own,
+    so that its progress is independent. Each has its own checkpoint and a trigger of one checkpoint interval. After a
+    restart it resumes from there; late rows, panes and offsets are kept exactly once, files of the archive too,
+    Kafka output at least once.
     """
     side = side_of(side)
     mode = mode or settings.job_mode
@@ -86,19 +98,14 @@ def start(
     root = f"{checkpoint_root(spark, settings)}/{side.name}"
     started = []
     if mode in ("aggregation", "all"):
-        name = f"{side.name}_dead_letters"
-        started.append(dead_letter_query(
-            edges.events(False), side, edges.dead_letters, f"{root}/{name}", name, edges.as_of, trigger,
+        name = f"{side.name}_windows"
+        started.append(panes_query(
+            edges.events(False), side, edges.metrics, f"{root}/{name}", name,
+            ((settings.tumbling_size_ms, None), (settings.sliding_size_ms, settings.sliding_slide_ms)),
+            delay_ms=settings.allowed_lateness_ms, lateness_ms=settings.allowed_lateness_ms,
+            dead_letters=edges.dead_letters, late=edges.late, source=edges.source,
+            policy="max" if edges.source is None else "min", idle_ms=IDLE_MS, as_of=edges.as_of, trigger=trigger,
         ))
-        windows = {
-            f"{side.name}_tumbling": (settings.tumbling_size_ms, None),
-            f"{side.name}_sliding": (settings.sliding_size_ms, settings.sliding_slide_ms),
-        }
-        for name, (size_ms, slide_ms) in windows.items():
-            started.append(metrics_query(
-                edges.events(False), side, edges.metrics, f"{root}/{name}", name, size_ms, slide_ms,
-                delay_ms=settings.watermark_delay_ms, as_of=edges.as_of, trigger=trigger,
-            ))
     if mode in ("storage", "all"):
         name = f"{side.name}_archive"
         started.append(archive_query(

@@ -13,8 +13,9 @@ which folders still belong to an open window; only those are read, however long
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from math import gcd
 from typing import Any
@@ -34,16 +35,29 @@ POLICIES = ("max", "min")
 
 @dataclass(frozen=True)
 class Progress:
-    """What a batch leaves to the next: the latest instant (micros) per source, and the stored batches with their last pane."""
+    """What a batch leaves to the next: per source the latest instant (micros) and when it last moved (epoch ms), the
+    stored batches with the end of their last pane, and the watermark."""
 
-    latest: Mapping[str, int]
+    latest: Mapping[str, tuple[int, int]]
     live: Sequence[tuple[int, int]]
-
-    def watermark(self, delay_us: int, policy: str) -> int | None:
-        """Latest instant less the delay: of the source that is furthest, or with ``min`` of the one that lags most."""
-        if not self.latest:
-            return None
-        return (max if policy == "max" else min)(self.latest.values()) - delay_us
+    mark: int | None = None
+
+    def moved(self, seen: Mapping[str, int], now_ms: int, delay_ms: int, policy: str, idle_ms: int | None) -> Progress:
+        """After a batch whose sources had these latest instants. The watermark never goes back.
+
+        It is the delay behind the furthest source, or with ``min`` behind the one that lags most among those that
+        moved within ``idle_ms``.
+        """
+        latest = dict(self.latest)
+        for source, instant in seen.items():
+            if source not in latest or instant > latest[source][0]:
+                latest[source] = (instant, now_ms)
+        if policy == "max":
+            held = [t for t, _ in latest.values()]
+        else:
+            held = [t for t, at in latest.values() if idle_ms is None or now_ms - at <= idle_ms]
+        marks = [m for m in (self.mark, (max if policy == "max" else min)(held) - delay_ms * 1000 if held else None) if m is not None]
+        return Progress(latest, self.live, max(marks) if marks else None)
 
 
 def _file(spark: SparkSession, path: str) -> tuple[Any, Any]:
@@ -61,14 +75,14 @@ def _load(spark: SparkSession, store: str, batch_id: int) -> Progress:
         held = json.loads(bytes(source.readAllBytes()))
     finally:
         source.close()
-    return Progress(held["latest"], [tuple(x) for x in held["live"]])
+    return Progress({k: tuple(v) for k, v in held["latest"].items()}, [tuple(x) for x in held["live"]], held["mark"])
 
 
 def _save(spark: SparkSession, store: str, batch_id: int, progress: Progress) -> None:
     system, path = _file(spark, f"{store}/progress/{batch_id}.json")
     target = system.create(path, True)
     try:
-        target.write(bytearray(json.dumps({"latest": dict(progress.latest), "live": list(progress.live)}).encode()))
+        target.write(bytearray(json.dumps({"latest": dict(progress.latest), "live": list(progress.live), "mark": progress.mark}).encode()))
     finally:
         target.close()
 
@@ -94,6 +108,7 @@ def panes_query(
     labels: str = "reference",
     source: Column | None = None,
     policy: str = "max",
+    idle_ms: int | None = None,
     as_of: AsOf = None,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
@@ -106,7 +121,8 @@ def panes_query(
     Consumers take the last row per window and key.
 
     ``source`` tells the partitions or topics of a row apart, and ``policy="min"`` lets the one that lags most hold the
-    watermark of all, so that none of its rows are late; by default the furthest one moves it.
+    watermark of all, so that none of its rows are late; by default the furthest one moves it. A source without news
+    for ``idle_ms`` holds nothing.
 
     ``dead_letters`` gets rejected rows with code and reason; ``late`` gets accepted rows that came after all their
     windows of some size had closed, with those sizes (milliseconds) in ``late_for``. Such a row still counts in
@@ -130,8 +146,7 @@ def panes_query(
         try:
             if dead_letters:
                 dead_letters(rejected(batch).drop("_source"), batch_id)
-            closed = before.watermark(delay_ms * 1000, policy)
-            closed = None if closed is None else closed - lateness_ms * 1000
+            closed = None if before.mark is None else before.mark - lateness_ms * 1000
             good = valid(batch)
             at = F.unix_micros("timestamp")
             if closed is not None:
@@ -147,19 +162,16 @@ def panes_query(
             pane_partials(good.drop("_source"), side, pane_ms).write.mode("overwrite").parquet(folder)
             written = session.read.parquet(folder)
             # what was late moves no watermark, since the watermark is past it
-            latest, last = dict(before.latest), None
-            for r in good.groupBy("_source").agg(F.max(at).alias("t")).collect():
-                latest[r._source] = max(r.t, latest.get(r._source, r.t))
-                last = r.t if last is None else max(r.t, last)
+            seen = {r._source: r.t for r in good.groupBy("_source").agg(F.max(at).alias("t")).collect()}
+            now = before.moved(seen, int(time.time() * 1000), delay_ms, policy, idle_ms)
             live = [(b, t) for b, t in before.live if b < batch_id]
-            if last is not None:
-                live.append((batch_id, last + pane_ms * 1000))
-            progress = Progress(latest, live)
-            metrics(_due(session, written, progress, before), batch_id)
-            now = progress.watermark(delay_ms * 1000, policy)
+            if seen:
+                live.append((batch_id, max(seen.values()) + pane_ms * 1000))
+            now = replace(now, live=live)
+            metrics(_due(session, written, now, before.mark), batch_id)
             # a batch is needed until the last window over its last pane has closed for good
-            kept = [(b, t) for b, t in live if now is None or t + longest > now - lateness_ms * 1000]
-            _save(session, store, batch_id, Progress(latest, kept))
+            done = None if now.mark is None else now.mark - lateness_ms * 1000
+            _save(session, store, batch_id, replace(now, live=[(b, t) for b, t in live if done is None or t + longest > done]))
             # what the batch before has dropped is needed by no repetition any more
             gone = {b for b, _ in _load(session, store, batch_id - 2).live} - {b for b, _ in before.live}
             for b in gone:
@@ -168,11 +180,10 @@ def panes_query(
         finally:
             batch.unpersist()
 
-    def _due(session: SparkSession, written: DataFrame, progress: Progress, before: Progress) -> DataFrame:
+    def _due(session: SparkSession, written: DataFrame, progress: Progress, then: int | None) -> DataFrame:
         """Rows of the windows to publish: newly passed ones, and touched ones that are not closed for good."""
         panes = session.read.schema(written.schema).parquet(*[f"{store}/panes/batch_id={b}" for b, _ in progress.live]) if progress.live else written
-        then, now = before.watermark(delay_ms * 1000, policy), progress.watermark(delay_ms * 1000, policy)
-        parts = []
+        now, parts = progress.mark, []
         for size, slide in kinds:
             end = f"(window_start + {size * 1000}L)"
             if now is None:
