@@ -1,8 +1,8 @@
 """Time functions.
 
 Truncation works on the epoch, so it does not depend on the session time zone. Functions that print
-a date (:func:`partition_path`, :func:`partition_columns`, :func:`iso_instant`) print it in the
-session zone, which must be UTC; :func:`adpulse.session.require_utc` checks that.
+a date (:func:`partition_path`, :func:`partition_columns`, :func:`iso_instant`) print it in UTC,
+whatever the session's zone.
 """
 
 from __future__ import annotations
@@ -86,14 +86,14 @@ def from_epoch_millis(ms: Column | str) -> Column:
     return F.timestamp_millis(_col(ms))
 
 
-def current_minute_start_ms() -> Column:
-    """Epoch milliseconds at which the current minute began."""
-    return F.unix_millis(truncate_to_minute(F.current_timestamp()))
+def current_minute_start_ms(now: Column | str | None = None) -> Column:
+    """Epoch milliseconds at which the current minute began, or that of the column ``now``."""
+    return F.unix_millis(truncate_to_minute(F.current_timestamp() if now is None else now))
 
 
-def current_hour_start_ms() -> Column:
-    """Epoch milliseconds at which the current hour began."""
-    return F.unix_millis(truncate_to_hour(F.current_timestamp()))
+def current_hour_start_ms(now: Column | str | None = None) -> Column:
+    """Epoch milliseconds at which the current hour began, or that of the column ``now``."""
+    return F.unix_millis(truncate_to_hour(F.current_timestamp() if now is None else now))
 
 
 def within_processing_window(

@@ -266,22 +266,25 @@ def _mixed() -> str:
     return f"WITH {parts[0][0]}, {parts[1][0]} {parts[0][1]} UNION ALL {parts[1][1]}"
 
 
-def _encoded_metrics() -> str:
-    return f"""SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') AS window_start,
-  strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS window_end, window_type, '60' AS duration,
-  campaign_id, action, unique_users::varchar AS unique_users, event_count::varchar AS event_count,
-  '0.0' AS click_through_rate, publisher_id, ad_responses::varchar AS ad_responses, '0.0' AS fill_rate
-FROM ({_windowed('ssp', 60_000)})"""
+def _iso(micros: str) -> str:
+    return f"""CASE WHEN {micros} % 1000000 = 0 THEN strftime(make_timestamp({micros}), '%Y-%m-%dT%H:%M:%SZ')
+    WHEN {micros} % 1000 = 0 THEN strftime(make_timestamp({micros}), '%Y-%m-%dT%H:%M:%S.%gZ')
+    ELSE strftime(make_timestamp({micros}), '%Y-%m-%dT%H:%M:%S.%fZ') END"""
 
 
-def _encoded_events() -> str:
-    return f"""WITH {_adapted('dsp')}
-SELECT event_id, CASE WHEN us % 1000000 = 0 THEN strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%SZ')
-    WHEN us % 1000 = 0 THEN strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S.%gZ')
-    ELSE strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S.%fZ') END AS "timestamp",
-  campaign_id, action, '["' || targeting_segments || '"]' AS targeting_segments,
-  CASE WHEN k IS NULL THEN '{{"k":null}}' ELSE '{{"k":"' || k || '"}}' END AS metadata
-FROM adapted"""
+_BASE = """window_type, duration_seconds, campaign_id, advertiser_id, action, impressions, clicks, conversions, views, total_revenue,
+  total_spend, unique_users, event_count, click_through_rate, conversion_rate, cost_per_click, cost_per_conversion"""
+
+
+def _encoded_metrics(side: str, size_ms: int, slide_ms: int | None = None, campaign: bool = False, base: bool = False) -> str:
+    rows = f"SELECT *{', NULL::varchar AS action' if campaign else ''} FROM ({_windowed(side, size_ms, slide_ms, campaign)})"
+    rows = f"SELECT * REPLACE ({', '.join(f'{_iso(f"epoch_us({c})")} AS {c}' for c in ('window_start', 'window_end'))}), true AS stamped FROM ({rows})"
+    return f"SELECT window_start, window_end, {_BASE}, stamped FROM ({rows})" if base else rows
+
+
+def _encoded_events(side: str) -> str:
+    columns = _present(_COLUMNS[side]).replace('make_timestamp(us) AS "timestamp"', f'{_iso("us")} AS "timestamp"')
+    return f"WITH {_adapted(side)} SELECT {columns}, k AS metadata FROM adapted"
 
 
 def _n_minutes() -> str:
@@ -336,13 +339,19 @@ def oracles() -> dict[str, str]:
             f"stream_equals_batch_{side}": _windowed(side, minute),
             f"stream_dead_letters_{side}": _dead_letters(side),
             f"stream_archive_{side}": _archive_rows(side),
+            f"json_encode_events_{side}": _encoded_events(side),
+            f"json_encode_metrics_{side}": _encoded_metrics(side, minute),
+            f"json_encode_campaign_metrics_{side}": _encoded_metrics(side, five, minute, campaign=True),
+            f"json_encode_base_metrics_{side}": _encoded_metrics(side, hour, base=True),
         }
     mappings = "SELECT l_orderkey::varchar AS event_id, min(l_returnflag) AS mapping FROM lineitem GROUP BY 1"
     out |= {
         "dsp_budget_exhausted": _windowed("dsp", hour, campaign=True, budget=True),
         "json_decode_mixed": _mixed(),
-        "json_encode_metrics": _encoded_metrics(),
-        "json_encode_events": _encoded_events(),
+        "json_encode_metrics": _encoded_metrics("ssp", minute),
+        "json_encode_events": _encoded_events("dsp"),
+        "current_starts":
+            "SELECT event_id, epoch_ms(date_trunc('minute', ts)) AS minute_ms, epoch_ms(date_trunc('hour', ts)) AS hour_ms FROM events",
         "partition_path": f"SELECT event_id, {_path('ts')} AS path, 'event_type=SSP/' || {_path('ts')} AS typed_path FROM events",
         "truncate_units":
             "SELECT event_id, date_trunc('minute', ts) AS minute, date_trunc('hour', ts) AS hour, "

@@ -30,9 +30,12 @@ from ..operators import (
     with_fingerprint,
     with_mapping,
 )
+from ..schemas import side_of
 from ..session import configure, shared_folder
 from ..sinks import batch_files, read_batches, write_archive
-from ..sources import decode, decode_mixed, decode_with_errors, encode_events, encode_metrics, event_json, read_archive
+from ..sources import (
+    decode, decode_mixed, decode_with_errors, encode_base_metrics, encode_events, encode_metrics, event_json, read_archive,
+)
 from ..streaming import archive_query, dead_letter_query, metrics_query
 from .adapter import AS_OF, adapt, read_events
 
@@ -230,25 +233,59 @@ def json_decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def json_encode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published metric records, read back field by field."""
-    rows = encode_metrics(windowed_metrics(good_events(spark, sf_dir, "ssp"), "ssp"))
-    paths = {
-        "window_start": "$.base.window.window_start", "window_end": "$.base.window.window_end",
-        "window_type": "$.base.window.window_type", "duration": "$.base.window.durationSeconds",
-        "campaign_id": "$.base.campaign_id", "action": "$.base.action",
-        "unique_users": "$.base.unique_users", "event_count": "$.base.event_count",
-        "click_through_rate": "$.base.clickThroughRate",
-        "publisher_id": "$.publisher_id", "ad_responses": "$.ad_responses", "fill_rate": "$.fill_rate",
-    }
-    return rows.select(*[F.get_json_object("value", path).alias(name) for name, path in paths.items()])
+# fixed values: wire names and types of published metrics
+_BASE_WIRE = (
+    "window struct<window_start: string, window_end: string, window_type: string, durationSeconds: bigint>, "
+    "campaign_id string, advertiser_id string, action string, impressions bigint, clicks bigint, conversions bigint, views bigint, "
+    "total_revenue double, total_spend double, unique_users bigint, event_count bigint, created_at string, "
+    "clickThroughRate double, conversionRate double, costPerClick double, costPerConversion double"
+)
+_OWN_WIRE = {
+    "ssp": "publisher_id string, ad_requests bigint, ad_responses bigint, fill_rate double, viewability_rate double, "
+           "avg_floor_price double, avg_winning_bid double",
+    "dsp": "bid_requests bigint, bid_responses bigint, bid_wins bigint, bid_losses bigint, bid_timeouts bigint, win_rate double, "
+           "avg_bid_price double, avg_clearing_price double, total_budget_spent double",
+}
+
+
+def _json_encode_metrics(side: str, size_ms: int, slide_ms: int | None = None, grain: str = "action", base: bool = False) -> Query:
+    """Published metric records, every field read back in one parse."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        metrics = windowed_metrics(good_events(spark, sf_dir, side), side, size_ms, slide_ms, grain)
+        if base:
+            rows = encode_base_metrics(metrics).select(F.from_json("value", _BASE_WIRE).alias("base"))
+            own = []
+        else:
+            wire = f"base {T.StructType.fromDDL(_BASE_WIRE).simpleString()}, {_OWN_WIRE[side]}"
+            rows = encode_metrics(metrics).select(F.from_json("value", wire).alias("r")).select("r.*")
+            own = [c for c in rows.columns if c != "base"]
+        rows = rows.select("base.window.*", "base.*", *own).drop("window").withColumnsRenamed({
+            "durationSeconds": "duration_seconds", "clickThroughRate": "click_through_rate", "conversionRate": "conversion_rate",
+            "costPerClick": "cost_per_click", "costPerConversion": "cost_per_conversion"})
+        stamped = F.col("created_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?Z$")
+        return present(rows.withColumn("stamped", stamped).drop("created_at"))
+
+    return run
+
 
+def _json_encode_events(side: str) -> Query:
+    """Events as wire JSON, every field read back in one parse; the instant as its text."""
 
-def json_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as wire JSON, the fields without a decimal part compared as text."""
-    rows = encode_events(events_of(spark, sf_dir, "dsp", whole=True), "dsp")
-    names = ["event_id", "timestamp", "campaign_id", "action", "targeting_segments", "metadata"]
-    return rows.select(*[F.get_json_object("value", f"$.{name}").alias(name) for name in names])
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fields = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.TimestampType) else f for f in side_of(side).event.fields]
+        rows = encode_events(events_of(spark, sf_dir, side, whole=True), side)
+        rows = rows.select(F.inline(F.array(F.from_json("value", T.StructType(fields)))))
+        return _flat_archive(rows.withColumn("metadata", F.element_at("metadata", "k")))
+
+    return run
+
+
+def current_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the current minute and hour began, with each event's instant as the present."""
+    return _timestamps(spark, sf_dir).select(
+        "event_id", fn.current_minute_start_ms("ts").alias("minute_ms"), fn.current_hour_start_ms("ts").alias("hour_ms")
+    )
 
 
 def _timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,12 +462,18 @@ def registry() -> dict[str, Query]:
             f"stream_equals_batch_{side}": _stream_metrics(side, MINUTE),
             f"stream_dead_letters_{side}": _stream_dead_letters(side),
             f"stream_archive_{side}": _stream_archive(side),
+            f"json_encode_events_{side}": _json_encode_events(side),
+            f"json_encode_metrics_{side}": _json_encode_metrics(side, MINUTE),
+            f"json_encode_campaign_metrics_{side}": _json_encode_metrics(side, FIVE_MINUTES, MINUTE, "campaign"),
+            f"json_encode_base_metrics_{side}": _json_encode_metrics(side, HOUR, base=True),
         }
     out |= {
         "dsp_budget_exhausted": _windowed("dsp", HOUR, grain="campaign", budget_exhausted=True),
         "json_decode_mixed": json_decode_mixed,
-        "json_encode_metrics": json_encode_metrics,
-        "json_encode_events": json_encode_events,
+        # the names of the first round's narrower queries
+        "json_encode_metrics": _json_encode_metrics("ssp", MINUTE),
+        "json_encode_events": _json_encode_events("dsp"),
+        "current_starts": current_starts,
         "partition_path": partition_path,
         "truncate_units": truncate_units,
         "truncate_n_minutes": truncate_n_minutes,
