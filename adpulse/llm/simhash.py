@@ -18,7 +18,7 @@ BITS = 64
 # A block combination shared by more different fingerprints than this is linked through midpoints.
 CROWDED = 1024
 # Turns in which all nodes of a block are held against one of them, before those still apart are paired.
-TURNS = 3
+TURNS = 2
 # A block of more nodes that are still apart pairs them by their rarest shingles.
 FEW = 64
 # Near-duplicates: minima in one band, share of the pairs just similar enough that meet in a band, and bits
