@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import materialize
@@ -207,7 +209,8 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                hosts, final, blocks, marks, votes, inside = [], [], [], [], [], []
+                tool = zstandard.ZstdCompressor(level=3)
+                hosts, final, packed, could, marks, votes, inside = [], [], [], [], [], [], []
                 for url, page in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     kept, all_marks, held = page_parts(page or "")
                     hosts.append(_host(url))
@@ -216,19 +219,21 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
                     inside.append(bool(held))
                     done = not any(m for _, m in kept)
                     final.append("\n".join(t for t, _ in kept) if done else None)
-                    blocks.append(None if done else [{"text": t, "marks": m} for t, m in kept])
-                kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
+                    asks = [] if done else sorted({m for _, ms in kept for m in ms})
+                    at_ask = {m: i for i, m in enumerate(asks)}
+                    could.append(asks)
+                    packed.append(None if done else tool.compress(json.dumps([[t, [at_ask[m] for m in ms]] for t, ms in kept]).encode()))
                 vote = pa.list_(pa.struct([("mark", pa.int64()), ("article", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(3), part.column(0), part.column(1), pa.array(hosts), pa.array(final, pa.string()), pa.array(blocks, kind), pa.array(marks, pa.list_(pa.int64())),
+                    [part.column(3), part.column(0), part.column(1), pa.array(hosts), pa.array(final, pa.string()), pa.array(packed, pa.binary()), pa.array(could, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64())),
                      pa.array(votes, vote), pa.array(inside, pa.bool_())],
-                    ["row", "page_id", "url", "host", "text", "blocks", "marks", "votes", "inside"])
+                    ["row", "page_id", "url", "host", "text", "packed", "could", "marks", "votes", "inside"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     source = pages.select("page_id", "url", "html").withColumn("row", F.monotonically_increasing_id())
     parsed = materialize(source.mapInArrow(
         read, f"row long, page_id {kinds['page_id']}, url string, host string, text string, "
-              "blocks array<struct<text: string, marks: array<bigint>>>, marks array<bigint>, "
+              "packed binary, could array<bigint>, marks array<bigint>, "
               "votes array<struct<mark: bigint, article: bigint>>, inside boolean"), "pages")
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     seen = parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
@@ -239,11 +244,21 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     held = held.join(articles, "host").where(F.col("n") >= min_share * F.col("articles"))
     many = many.select("host", "mark", F.lit(False).alias("inside")).unionByName(held.select("host", "mark", F.lit(True).alias("inside")))
 
+    def drop(batches):
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, out = batch.slice(at, 500), []
+                for packed, asks, found in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
+                    hit = set(found or ())
+                    gone = {i for i, m in enumerate(asks) if m in hit}
+                    out.append("\n".join(t for t, ms in json.loads(tool.decompress(packed)) if gone.isdisjoint(ms)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
+
+    # texts travel compressed
     waiting = parsed.where("text is null")
-    asked = waiting.select("row", "host", "inside", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
+    asked = waiting.select("row", "host", "inside", F.explode("could").alias("mark"))
     hits = asked.join(many, ["host", "mark", "inside"]).groupBy("row").agg(F.collect_list("mark").alias("hits"))
-    rest = waiting.join(hits, "row", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<bigint>")))
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["marks"], F.col("hits")))
-    rest = rest.withColumn("text", F.array_join(F.transform(left, lambda b: b["text"]), "\n"))
-    columns = ["page_id", "url", "text"]
-    return parsed.where("text is not null").select(columns).unionByName(rest.select(columns))
+    rest = waiting.select("row", "page_id", "url", "packed", "could").join(hits, "row", "left").drop("row")
+    rest = rest.mapInArrow(drop, f"page_id {kinds['page_id']}, url string, text string")
+    return parsed.where("text is not null").select("page_id", "url", "text").unionByName(rest)
