@@ -16,6 +16,8 @@ from .common import materialize
 
 # A subtree is a template of its host from so many pages on, if they are such a share of the host's pages.
 MIN_PAGES, MIN_SHARE = 5, 0.05
+# Pages holding templates whose numbers are broadcast, 32 MB of them; beyond that all waiting texts are shuffled.
+MARKED = 1 << 22
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>"
@@ -259,6 +261,12 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     waiting = parsed.where("text is null")
     asked = waiting.select("row", "host", "inside", F.explode("could").alias("mark"))
     hits = asked.join(many, ["host", "mark", "inside"]).groupBy("row").agg(F.collect_list("mark").alias("hits"))
-    rest = waiting.select("row", "page_id", "url", "packed", "could").join(hits, "row", "left").drop("row")
-    rest = rest.mapInArrow(drop, f"page_id {kinds['page_id']}, url string, text string")
+    hits, waiting = materialize(hits, "hits"), waiting.select("row", "page_id", "url", "packed", "could")
+    if hits.count() <= MARKED:  # pages with no template stay where they are
+        marked = F.broadcast(hits.select("row"))
+        rest = waiting.join(marked, "row", "left_semi").join(hits, "row").unionByName(
+            waiting.join(marked, "row", "left_anti"), allowMissingColumns=True)
+    else:
+        rest = waiting.join(hits, "row", "left")
+    rest = rest.drop("row").mapInArrow(drop, f"page_id {kinds['page_id']}, url string, text string")
     return parsed.where("text is not null").select("page_id", "url", "text").unionByName(rest)
