@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -24,9 +25,9 @@ def plain_top(rows, k, every):
     return out
 
 
-@pytest.mark.parametrize("shard,queries", [(8192, 4096), (60, 3)])
-def test_top_k(spark, shard, queries, monkeypatch):
-    monkeypatch.setattr(kdtree, "SHARD", shard)
+@pytest.mark.parametrize("tree,queries", [(1 << 24, 1024), (60 * 64 * 8, 3)])
+def test_top_k(spark, tree, queries, monkeypatch):
+    monkeypatch.setattr(kdtree, "TREE_BYTES", tree)
     monkeypatch.setattr(kdtree, "QUERIES", queries)
     monkeypatch.setattr(kdtree, "LEAF", 16)
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
@@ -45,6 +46,53 @@ def test_top_k_edge(spark):
     assert kdtree.top_k(df.where("false"), F.col("vec_id") % 2 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e5, 1e9, 1e300, 1.7e308])
+def test_top_k_of_large_vectors(spark, size, monkeypatch):
+    """Against Python's integers; neighbours differ in the last bit of a component, some scores cancel, ties are planted."""
+    monkeypatch.setattr(kdtree, "TREE_BYTES", 40 * 8 * 8)
+    monkeypatch.setattr(kdtree, "LEAF", 8)
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.uniform(-1, 1, 8) * size).tolist()) for i in range(120)]
+    for i in range(0, 60, 3):  # a tie, a neighbour and an opposite
+        x = rows[i][1]
+        rows[i + 60] = (i + 60, x)
+        rows[i + 61] = (i + 61, [float(np.nextafter(x[0], 0)), *x[1:]])
+        rows[i + 62] = (i + 62, [-v for v in x])
+    rows += [(200, [1.5] * 8), (202, [0.0] * 8), (200, [size] + [2.5] * 7), (203, [1.5] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [math.floor(Fraction(v) * 1024) for v in x]) for i, x in rows]
+    want = set()
+    for q in {i for i, _ in rows if i % 10 == 0}:
+        best = {(-sum(u * v for u, v in zip(a, b)), c) for i, a in whole if i == q for c, b in whole if c != q and len(a) == len(b)}
+        want |= {(q, r, c, max(min(-s, 2 ** 63 - 1), -2 ** 63)) for r, (s, c) in enumerate(sorted(best)[:10], 1)}
+    got = kdtree.top_k(df, F.col("vec_id") % 10 == 0, k=10).select("query_id", "rank", "vec_id", "score").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_one_id_in_many_rows_spreads_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "TREE_BYTES", 50 * 2 * 8)
+    rows = [(0 if i % 3 else i, [i / 7, -i / 9]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = kdtree.top_k(df, F.col("vec_id") % 50 == 0, k=5)
+    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == plain_rows(rows, 5, 50)
+
+
+def plain_rows(rows, k, every):
+    """As ``plain_top``, with all rows of an id as one query."""
+    whole = [(i, [math.floor(1024 * float(np.float32(v))) for v in x]) for i, x in rows]
+    out = set()
+    for q in {i for i, _ in whole if i % every == 0}:
+        best = {(-sum(u * v for u, v in zip(a, b)), c) for i, a in whole if i == q for c, b in whole if c != q}
+        out |= {(q, r, c, -s) for r, (s, c) in enumerate(sorted(best)[:k], 1)}
+    return out
+
+
+def test_keys_sort_as_numbers():
+    numbers = sorted({s * (10 ** e + d) for e in (0, 1, 2, 5, 18, 19, 38, 600) for d in (-1, 0, 1, 255, 256) for s in (-1, 1)} | {2 ** 63, -2 ** 63, 2 ** 63 - 1, 256, 255})
+    keys = [kdtree.sortable(n) for n in numbers]
+    assert keys == sorted(keys) and [kdtree.from_sortable(k) for k in keys] == numbers
+
+
 def test_tree_bounds_and_pruning():
     rng = np.random.default_rng(0)
     points = rng.integers(-50, 50, (500, 3)).astype(float)
