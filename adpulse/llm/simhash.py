@@ -9,7 +9,7 @@ from math import ceil, log, log1p, log2, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import map_batches, materialize, row_hash, shingle_hashes, texts, words_of
 from .components import components
@@ -21,6 +21,8 @@ CROWDED = 1024
 TURNS = 2
 # A block of more nodes that are still apart pairs them by their rarest shingles.
 FEW = 64
+# Slots in which the shingles of such blocks are counted. A fixed number, so what is broadcast doesn't grow with the data.
+SLOTS = 1 << 22
 # Near-duplicates: minima in one band, share of the pairs just similar enough that meet in a band, and bits
 # of each minimum that are compared before the sets are.
 BAND, RECALL, LOW_BITS = 6, 0.99, 4
@@ -134,24 +136,56 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     """Pairs, sides ``l`` and ``r``, of rows ``(node, root, ...)`` of different roots that can be so similar.
 
     Sets of m and n members and a Jaccard similarity of t have at least c = ceil(t (m + n) / (1 + t)) in common, so the
-    first common one, in order of rarity, is among the m - c + 1 rarest of one and the n - c + 1 rarest of the other.
-    Members that no other of the nodes has come first, so a node with more of them than that meets none: a crowd of
-    texts that share most of their shingles and still are not near costs little more than its shingles.
+    first common one, in any order all sets agree on, is among the first m - c + 1 of one and the first n - c + 1 of the
+    other. Members go by how often :func:`slot_counts` saw their slot, then by value, so rare ones come first. What no
+    other node can have is left out, so a node with more of that than its prefix holds meets none: a crowd of texts
+    that share most of their shingles and still are not near costs little more than its prefixes.
     """
-    members = sets.join(nodes.select("node"), "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    members = materialize(members, "members")
-    # a second column that follows from the first: a common shingle's partition can be split in the join
-    follows = F.pmod(F.col("shingle"), F.lit(2)).alias("half")
-    often = members.groupBy("shingle", follows).agg(F.count("*").alias("often")).drop("half")
-    order = Window.partitionBy("node").orderBy("often", "shingle")
-    first = members.join(often, "shingle").withColumn("place", F.row_number().over(order))
-    first = first.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("often") > 1))
-    first = materialize(first.select("node", "n", "shingle", "place").join(nodes, "node"), "prefixes")
+    members = materialize(sets.join(nodes.select("node"), "node").select("node", "shingles"), "members")
+    seen = members.sparkSession.sparkContext.broadcast(slot_counts(members))
+
+    def prefixes(rows: pa.RecordBatch) -> pa.RecordBatch | None:
+        counts, out = seen.value, []
+        for i, s in enumerate(rows.column(1)):
+            shingles = s.values.to_numpy()
+            often = counts[shingles & (len(counts) - 1)]
+            first = np.lexsort((shingles, often))[:len(shingles) - ceil(len(shingles) * similarity - 1e-9) + 1]
+            place = np.flatnonzero(often[first] > 1)
+            out.append((np.full(len(place), i), np.full(len(place), len(shingles)), shingles[first[place]], place + 1))
+        row, n, shingle, place = (np.concatenate(c) for c in zip(*out))
+        return pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(row)), pa.array(n), pa.array(shingle), pa.array(place)], ["node", "n", "shingle", "place"])
+
+    first = map_batches(members, prefixes, "node long, n long, shingle long, place long")
+    first = materialize(first.join(nodes, "node"), "prefixes")
+    seen.unpersist()
     common = F.ceil((F.col("l.n") + F.col("r.n")) * (similarity / (1 + similarity)) - 1e-9)
     early = (F.col("l.place") <= F.col("l.n") - common + 1) & (F.col("r.place") <= F.col("r.n") - common + 1)
     return first.alias("l").join(first.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.root") < F.col("r.root")) & early)
 
 
+def slot_counts(members: DataFrame) -> np.ndarray:
+    """In how many sets of ``members(node, shingles)`` members of each slot are; a slot is the low bits of a hash.
+
+    There are about as many slots as members, at most :data:`SLOTS` (16 MB), whatever the input: members that
+    share a slot are taken to be as frequent as all of them together, never as less.
+    """
+    total = members.agg(F.sum(F.size("shingles")).alias("n")).first().n or 1
+    slots = min(SLOTS, 1 << total.bit_length())
+
+    def count(batches):
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            counts += np.bincount(batch.column(0).flatten().to_numpy() & (slots - 1), minlength=slots)
+        slot = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], ["slot", "n"])
+
+    found = members.select("shingles").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = found.select(F.col("slot").cast("int"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
+    counts = np.zeros(slots, np.int32)
+    counts[found["slot"]] = found["n"]
+    return counts
+
+
 def bits_apart(column: str):
     """Differing bits of a column between the sides ``l`` and ``r`` of a join."""
     return F.bit_count(F.col(f"l.{column}").bitwiseXOR(F.col(f"r.{column}")))

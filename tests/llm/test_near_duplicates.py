@@ -105,3 +105,30 @@ def test_edited_copies_of_a_copy_are_one_group(spark):
     got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got[i] == 0 for i, _ in rows[:301]) >= 0.98 * 301  # each is proposed with probability 0.99
     assert all(got[i] == i for i, _ in rows[301:])
+
+
+def test_slots_never_count_too_little(spark, monkeypatch):
+    """Few slots, so that members share them: counts stay at or over the true ones and no pair is lost."""
+    rng = np.random.default_rng(12)
+    base = [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 60)]
+    sets = {i: sorted({x for x in base if rng.random() > 0.05} | {int(x) for x in rng.integers(0, 1 << 62, 4)}) for i in range(100)}
+    frame = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>").repartition(4)
+    true = {}
+    for s in sets.values():
+        for x in s:
+            true[x] = true.get(x, 0) + 1
+    near = {(i, j) for i in sets for j in sets if i < j and len({*sets[i]} & {*sets[j]}) / len({*sets[i]} | {*sets[j]}) >= 0.8}
+    found = []
+    for slots in (16, 1 << 22):
+        monkeypatch.setattr(simhash, "SLOTS", slots)
+        counts = simhash.slot_counts(frame)
+        assert len(counts) <= slots and all(counts[x & (len(counts) - 1)] >= n for x, n in true.items())
+        assert counts.sum() == sum(true.values())
+        pairs = simhash.prefix_pairs(frame.selectExpr("node", "node AS root"), frame, 0.8).selectExpr("l.node AS a", "r.node AS b").distinct().collect()
+        found.append({(r.a, r.b) for r in pairs})
+    assert near and all(near <= f for f in found)
+
+
+def test_no_crowd(spark):
+    empty = spark.createDataFrame([], "node long, shingles array<long>")
+    assert simhash.prefix_pairs(empty.selectExpr("node", "node AS root"), empty, 0.8).count() == 0
