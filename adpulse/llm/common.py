@@ -48,6 +48,16 @@ def delete_folders(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def per_key(df: DataFrame, keys: list[str], *aggregates) -> DataFrame:
+    """One row per key, for a join on the keys in which adaptive execution can split a key with very many rows.
+
+    It only splits sides that are shuffled for the join itself. Grouped by a further column that follows from the
+    keys, this side is; grouped by the keys alone, the join would take it as the aggregation left it.
+    """
+    half = F.pmod(F.xxhash64(*keys), F.lit(2)).alias("half")
+    return df.groupBy(*keys, half).agg(*aggregates).drop("half")
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id``, the text as UTF-8 bytes (null: empty) and ``more``; other columns are left behind."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *more)

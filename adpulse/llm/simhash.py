@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, row_hash, shingle_hashes, texts, words_of
+from .common import map_batches, materialize, per_key, row_hash, shingle_hashes, texts, words_of
 from .components import components
 
 BITS = 64
@@ -79,7 +79,7 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     """
     masks = block_masks(rows, max_distance)
     keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
-    sizes = keyed.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = per_key(keyed, ["mask", "part"], F.count("*").alias("n")).where("n > 1")
     met = materialize(keyed.join(sizes, ["mask", "part"]), "blocks")
     close = bits_apart("fp") <= max_distance
     if max_distance % 2:
@@ -91,7 +91,7 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     flips = [_signed(sum(1 << i for i in c)) for k in range(max_distance // 2 + 1) for c in combinations(range(BITS), k)]
     crowd = met.where(F.col("n") > CROWDED).select("node", "fp").distinct()
     near = crowd.withColumn("flip", F.explode(F.lit(flips))).select("node", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
-    stars = near.groupBy("mid").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    stars = per_key(near, ["mid"], F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     return pairs.unionByName(near.join(stars, "mid").where("a <> node").select("a", F.col("node").alias("b"))).distinct()
 
 
@@ -109,19 +109,19 @@ def pivot_pairs(met: DataFrame, close, accept=lambda pairs: pairs, crowd=None) -
     columns = [c for c in met.columns if c != "block"]
     same_block = F.col("l.block") == F.col("r.block")
     ends = [F.col("l.node").alias("left"), F.col("r.node").alias("right"), F.col("l.root").alias("a"), F.col("r.root").alias("b")]
-    sizes = met.groupBy("block").agg(F.count("*").alias("n"))
+    sizes = per_key(met, ["block"], F.count("*").alias("n"))
     meets = met.select("node", "block").join(sizes, "block").groupBy("node").agg(F.sum("n").alias("meets"))
     apart, edges = met.withColumn("root", F.col("node")).join(materialize(meets, "meets"), "node"), None
     for turn in range(TURNS):
         order = F.xxhash64("node", "block", F.lit(turn)) if turn else -F.col("meets")
-        pivot = apart.groupBy("block").agg(F.min(F.struct(order.alias("order"), "root", *columns)).alias("least"))
+        pivot = per_key(apart, ["block"], F.min(F.struct(order.alias("order"), "root", *columns)).alias("least"))
         pivot = pivot.select("block", "least.*").alias("r")
         found = apart.alias("l").join(pivot, same_block & (F.col("l.root") != F.col("r.root")) & close)
         found = accept(found.select(ends).distinct()).select("a", "b").distinct()
         edges = materialize(edges.unionByName(found) if edges else found, "stars")
         roots = components(edges).withColumnRenamed("node", "of")
         apart = met.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node"))
-    split = apart.groupBy("block").agg(F.count("*").alias("n"), F.min("root").alias("low_root"), F.max("root").alias("high_root"))
+    split = per_key(apart, ["block"], F.count("*").alias("n"), F.min("root").alias("low_root"), F.max("root").alias("high_root"))
     split = split.where("low_root < high_root").select("block", "n")
     left = materialize(apart.join(split, "block"), "apart")
     calm = left.where(F.col("n") <= FEW) if crowd else left
@@ -206,7 +206,7 @@ def near_components(prints: DataFrame, max_distance: int) -> DataFrame:
 def _least(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, component_id)``: the smallest ``first`` of the nodes that edges connect."""
     rooted = nodes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = per_key(rooted, ["root"], F.min("first").alias("component_id"))
     return rooted.join(least, "root").select("node", "component_id")
 
 
@@ -300,7 +300,7 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     nodes = marked.groupBy("node", *key).agg(F.min(order).alias("first"))
     nodes = materialize(nodes, "nodes")
     keyed = nodes.where("size > 0").select("node", "size", *low, F.explode(F.array(*bands)).alias("block"))
-    shared = keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
+    shared = per_key(keyed, ["block"], F.count("*").alias("n")).where("n > 1").select("block")
     met = materialize(keyed.join(shared, "block"), "blocks")
 
     # the sets of one text of each node that met another

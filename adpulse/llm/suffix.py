@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, texts, words_of
+from .common import map_batches, materialize, per_key, texts, words_of
 
 LENGTH = 400
 NAME = 128            # bytes of the string that names a window
@@ -198,14 +198,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     schema = f"doc_id {kind}, digest binary, name long, content long, start long, count long"
     every = materialize(map_batches(texts(docs), name, schema), "runs")
-    names = every.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    names = per_key(every, ["name"], F.count("*").alias("n")).where("n > 1").select("name")
     live = materialize(every.join(names, "name"), "live")
 
     # one representative of equal runs; a run that occurs twice repeats as a whole
     first = F.min(F.struct("doc_id", "digest", "start")).alias("first")
     unique = live.groupBy("name", "content").agg(F.count("*").alias("n"), F.min("count").alias("count"), first)
     unique = materialize(unique.select("name", "content", "n", "count", "first.*"), "unique")
-    shared = unique.groupBy("name").agg(F.count("*").alias("kinds"), F.sum("count").alias("suffixes")).where("kinds > 1")
+    shared = per_key(unique, ["name"], F.count("*").alias("kinds"), F.sum("count").alias("suffixes")).where("kinds > 1")
     wanted = unique.join(shared.select("name", "suffixes"), "name")
 
     # the bytes of those runs
@@ -240,14 +240,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     spans = "name long, content long, offset long, windows long"
     calm = segments.where(F.col("suffixes") <= CROWDED).withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    indexed = calm.groupBy("shard").applyInArrow(index, spans)
+    # a number of tasks of its own: what shards cost doesn't show in their bytes, by which adaptive execution merges tasks
+    indexed = calm.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(index, spans)
     parts = indexed.unionByName(_crowded_windows(segments.where(F.col("suffixes") > CROWDED), length))
     parts = parts.groupBy("name", "content").agg(F.collect_list(F.struct("offset", "windows")).alias("parts"))
     whole = unique.where("n > 1").select("name", "content", F.array(F.struct(F.lit(0).cast("long").alias("offset"), F.col("count").alias("windows"))).alias("whole"))
     flagged = parts.join(whole, ["name", "content"], "full").select("name", "content", F.coalesce("whole", "parts").alias("parts"))
+    # read back, this side is shuffled for the join itself, which can then split a run with very many copies
+    flagged = materialize(flagged, "flagged")
     flat = live.join(flagged, ["name", "content"]).select("digest", "start", F.explode("parts").alias("part"))
     flat = flat.select("digest", F.struct((F.col("start") + F.col("part.offset")).alias("start"), F.col("part.windows").alias("count")).alias("span"))
-    return flat.distinct().groupBy("digest").agg(F.collect_list("span").alias("spans"))
+    return per_key(flat.distinct(), ["digest"], F.collect_list("span").alias("spans"))
 
 
 def _crowded_windows(segments: DataFrame, length: int) -> DataFrame:
@@ -272,7 +275,7 @@ def _crowded_windows(segments: DataFrame, length: int) -> DataFrame:
             ["name", "content", "offset", "one", "two"])
 
     every = map_batches(segments.select("name", "content", "bytes"), windows, "name long, content long, offset long, one long, two long")
-    many = every.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
+    many = per_key(every, ["one", "two"], F.count("*").alias("n")).where("n > 1")
     return every.join(many, ["one", "two"]).select("name", "content", "offset", F.lit(1).cast("long").alias("windows"))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from adpulse.llm import components
+from pyspark.sql import functions as F
+
+from adpulse.llm import common, components
 
 
 def plain(edges):
@@ -52,3 +54,16 @@ def test_a_large_centre_can_be_split(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 3 and plan.count("SortMergeJoin") == 1
+
+
+def test_a_hot_key_can_be_split(spark):
+    """A side made by :func:`per_key` is shuffled for the join itself; its rows are those of the plain grouping."""
+    rows = spark.range(1000).selectExpr("IF(id % 3 = 0, NULL, id % 7) AS k", "id % 5 AS m", "id")
+    found = common.per_key(rows, ["k", "m"], F.count("*").alias("n"), F.max("id").alias("last"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows.groupBy("k", "m").agg(F.count("*").alias("n"), F.max("id").alias("last")).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows.join(found, ["k", "m"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("SortMergeJoin") == 1
