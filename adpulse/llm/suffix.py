@@ -23,6 +23,7 @@ LENGTH = 400
 NAME = 128            # bytes of the string that names a window
 PIECE = 1 << 20       # windows of one document that are named at a time
 SHARD = 60_000        # suffixes per shard
+TASKS = 2_000         # tasks that index shards, one after the other, unless the session shuffles into more
 BATCH = 8_000         # suffixes of a batch within a shard
 CROWDED = 250_000     # suffixes of one name beyond which it is no longer indexed in one task
 
@@ -241,7 +242,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = "name long, content long, offset long, windows long"
     calm = segments.where(F.col("suffixes") <= CROWDED).withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
     # a number of tasks of its own: what shards cost doesn't show in their bytes, by which adaptive execution merges tasks
-    indexed = calm.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(index, spans)
+    tasks = min(2 * shards, max(TASKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    indexed = calm.repartition(tasks, "shard").groupBy("shard").applyInArrow(index, spans)
     parts = indexed.unionByName(_crowded_windows(segments.where(F.col("suffixes") > CROWDED), length))
     parts = parts.groupBy("name", "content").agg(F.collect_list(F.struct("offset", "windows")).alias("parts"))
     whole = unique.where("n > 1").select("name", "content", F.array(F.struct(F.lit(0).cast("long").alias("offset"), F.col("count").alias("windows"))).alias("whole"))
