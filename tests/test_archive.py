@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adpulse.operators import deduplicate, enrich, evaluate_once, to_archive, with_mapping
+from adpulse.plans import queries
 from adpulse.schemas import DSP_ARCHIVE, SSP_ARCHIVE
 from adpulse.sinks import write_archive
 from adpulse.sources import read_archive
@@ -110,3 +111,12 @@ def test_evaluate_once_stops_filters(spark):
     out = evaluate_once(df).filter("b > '8' AND b < 'c'")
     assert out._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
     assert sorted(r.a for r in evaluate_once(df).collect()) == [float(i) for i in range(100)]
+
+
+@pytest.mark.parametrize("side, price", [("ssp", "winning_bid"), ("dsp", "clearing_price")])
+def test_instants_of_an_hour_may_exceed_a_long(spark, side, price):
+    """What some six million events of an hour add up to, in three rows, and an hour without instants."""
+    rows = [("2024", "01", "01", "00", 1 << 62, 1.5)] * 3 + [("2024", "01", "01", "01", None, None), ("2024", "02", "01", "00", 1, 1.0)]
+    back = spark.createDataFrame(rows, f"year string, month string, day string, hour string, timestamp long, {price} double")
+    got = {tuple(r) for r in queries._day_part(back, side).collect()}
+    assert got == {("01", "00", 3, 3 << 62, 4.5), ("01", "01", 1, None, None)}
