@@ -23,6 +23,8 @@ TURNS = 2
 FEW = 64
 # Slots in which the shingles of such blocks are counted. A fixed number, so what is broadcast doesn't grow with the data.
 SLOTS = 1 << 22
+# Bits in which fingerprints of near-duplicates differ at most.
+DISTANCE = 4
 # Near-duplicates: minima in one band, share of the pairs just similar enough that meet in a band, and bits
 # of each minimum that are compared before the sets are.
 BAND, RECALL, LOW_BITS = 6, 0.99, 4
@@ -38,11 +40,16 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(words: list[bytes], shingle: int = 4) -> int:
+    """SimHash of the ``shingle``-word shingles of a text, with repeats."""
+    return majority(shingle_hashes(words, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``(doc_id, fp)`` of every whole text, over ``shingle``-word shingles with repeats."""
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        fp = [majority(shingle_hashes(words_of(t), shingle)) for t in rows.column(1).to_pylist()]
+        fp = [fingerprint(words_of(t), shingle) for t in rows.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([rows.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -68,6 +75,29 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def meeting(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
+    """``nodes(node, fp)`` under each block combination ``(mask, part)`` they share with others; ``n`` share it."""
+    masks = block_masks(rows, max_distance)
+    keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
+    sizes = per_key(keyed, ["mask", "part"], F.count("*").alias("n")).where("n > 1")
+    return materialize(keyed.join(sizes, ["mask", "part"]), "combinations")
+
+
+def close_blocks(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
+    """``(block, node)`` such that any two of ``nodes(node, fp)`` within ``max_distance`` bits meet in a block.
+
+    A block is a block combination. Those of at most :data:`FEW` nodes keep only the nodes that are close to another
+    in them, so what meets by chance goes; in larger ones all stay, and no pairs are formed.
+    """
+    met = meeting(nodes, rows, max_distance)
+    block = F.xxhash64("mask", "part").alias("block")
+    calm = met.where(F.col("n") <= FEW)
+    same_block = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.part") == F.col("r.part"))
+    on = same_block & (F.col("l.node") < F.col("r.node")) & (bits_apart("fp") <= max_distance)
+    pairs = calm.alias("l").join(calm.alias("r"), on).select("l.mask", "l.part", F.explode(F.array("l.node", "r.node")).alias("node"))
+    return pairs.select(block, "node").distinct().unionByName(met.where(F.col("n") > FEW).select(block, "node"))
+
+
 def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly the nodes whose ``fp`` differ in at most ``max_distance`` bits.
 
@@ -77,10 +107,7 @@ def close_pairs(nodes: DataFrame, rows: int, max_distance: int) -> DataFrame:
     distance of each other, point at the smallest. Two close values always share such a midpoint, so no link
     is lost and the cost stays linear. An odd distance has no midpoint; then :func:`pivot_pairs` links.
     """
-    masks = block_masks(rows, max_distance)
-    keyed = nodes.withColumn("mask", F.explode(F.lit(masks))).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
-    sizes = per_key(keyed, ["mask", "part"], F.count("*").alias("n")).where("n > 1")
-    met = materialize(keyed.join(sizes, ["mask", "part"]), "blocks")
+    met = meeting(nodes, rows, max_distance)
     close = bits_apart("fp") <= max_distance
     if max_distance % 2:
         return pivot_pairs(met.select(F.xxhash64("mask", "part").alias("block"), "node", "fp"), close)
@@ -210,7 +237,7 @@ def _least(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return rooted.join(least, "root").select("node", "component_id")
 
 
-def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
+def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = DISTANCE) -> DataFrame:
     """``(doc_id, fp, component_id)`` per row of ``docs``.
 
     Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows and ties keep
@@ -271,10 +298,12 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     whatever equals it in both.
 
     Two texts are near-duplicates if the Jaccard similarity of their sets of five-word shingles is
-    ``similarity`` or more. Pairs are proposed by bands of MinHash values, :func:`bands_for` of them, so a pair
+    ``similarity`` or more. Pairs are proposed by their SimHash fingerprints, those of :func:`fingerprints`: all that
+    differ in at most :data:`DISTANCE` bits, found by block combinations. Pairs that are similar enough and yet have
+    prints further apart are proposed by bands of MinHash values, :func:`bands_for` of them, so a pair
     just at the limit is proposed with probability 0.99 whatever the number of rows, and a more similar one
-    more surely. Proposed pairs are checked on the whole sets; sizes, and minima five standard errors below
-    the limit, only spare that check. Documents without words form one group.
+    more surely. Proposed pairs are checked on the whole sets; Hamming distance, sizes, and minima five standard
+    errors below the limit, only spare that check. Documents without words form one group.
     """
     n_bands = bands_for(similarity)
     n_minima = n_bands * BAND
@@ -282,16 +311,19 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text in rows.column(1).to_pylist():
-            shingles = np.unique(shingle_hashes(words_of(text), 5))
+            words = words_of(text)
+            shingles, fp = np.unique(shingle_hashes(words, 5)), fingerprint(words)
             least = minima(shingles, n_minima)
             raw = least.tobytes()
             found = [xxhash.xxh64_intdigest(raw[8 * BAND * i:8 * BAND * (i + 1)], i) - (1 << 63) for i in range(n_bands)]
-            out.append([xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63), len(shingles), *_low_bits(least), *found])
+            # texts of one set and different prints are nodes of their own, which meet in every band
+            node = xxhash.xxh64_intdigest(shingles.tobytes(), fp & ((1 << BITS) - 1)) - (1 << 63)
+            out.append([node, len(shingles), fp, *_low_bits(least), *found])
         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
         return pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *columns], ["doc_id", "row", "node", *key])
 
     low, bands = [f"m{i}" for i in range(-(-n_minima // 16))], [f"b{i}" for i in range(n_bands)]
-    key = ["size", *low, *bands]
+    key = ["size", "fp", *low, *bands]
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}, row long", *(f"{c} long" for c in ("node", *key))])
     docs = docs.select("doc_id", "text", (F.col(row) if row else row_hash("doc_id", "text")).alias("row"))
@@ -299,9 +331,12 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     nodes = marked.groupBy("node", *key).agg(F.min(order).alias("first"))
     nodes = materialize(nodes, "nodes")
-    keyed = nodes.where("size > 0").select("node", "size", *low, F.explode(F.array(*bands)).alias("block"))
+    worded = nodes.where("size > 0")
+    of_node = ["size", "fp", *low]
+    keyed = worded.select("node", *of_node, F.explode(F.array(*bands)).alias("block"))
     shared = per_key(keyed, ["block"], F.count("*").alias("n")).where("n > 1").select("block")
-    met = materialize(keyed.join(shared, "block"), "blocks")
+    by_prints = close_blocks(worded.select("node", "fp"), nodes.count(), DISTANCE).join(worded.select("node", *of_node), "node")
+    met = materialize(keyed.join(shared, "block").unionByName(by_prints), "blocks")
 
     # the sets of one text of each node that met another
     def shingle_sets(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -320,7 +355,8 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
 
     apart = (1 - similarity) * (1 - 2.0 ** -LOW_BITS)
     most = n_minima * apart + 5 * sqrt(n_minima * apart * (1 - apart))
-    close = (F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= similarity) & (_minima_apart(low) <= most)
+    alike = (bits_apart("fp") <= DISTANCE) | (_minima_apart(low) <= most)
+    close = (F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= similarity) & alike
     least = _least(nodes.select("node", "first"), pivot_pairs(met, close, accept, lambda crowd: prefix_pairs(crowd, sets, similarity)))
     return marked.select("doc_id", "row", "node").join(least, "node").select(
         "doc_id", F.col("component_id.doc_id").alias("group_id"), "row",

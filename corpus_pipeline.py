@@ -42,7 +42,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest id stays, once; rows of one id are judged each."""
+    """Of each group of near duplicates the row with the smallest id stays, once; rows of one id are judged each.
+
+    SimHash fingerprints at most 4 bits apart propose pairs, MinHash bands those that fingerprints miss; the exact
+    similarity of the texts accepts them.
+    """
     keyed = docs.select(*COLUMNS, row_hash(*COLUMNS).alias("_row"))
     kept = simhash.near_duplicate_groups(keyed, row="_row").where("first").select(F.col("row").alias("_row"))
     return keyed.join(kept, "_row", "left_semi").distinct().select(COLUMNS)

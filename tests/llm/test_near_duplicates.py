@@ -132,3 +132,54 @@ def test_slots_never_count_too_little(spark, monkeypatch):
 def test_no_crowd(spark):
     empty = spark.createDataFrame([], "node long, shingles array<long>")
     assert simhash.prefix_pairs(empty.selectExpr("node", "node AS root"), empty, 0.8).count() == 0
+
+
+def edited_pairs(n: int, changed: int) -> list[tuple[str, str]]:
+    rng = np.random.default_rng(13)
+    pairs = []
+    for i in range(n):
+        words = [f"w{x}" for x in rng.integers(0, 50_000, 300)]
+        other = list(words)
+        for at in range(10, 10 + 40 * changed, 40):
+            other[at] = f"n{i}x{at}"
+        pairs.append((" ".join(words), " ".join(other)))
+    return pairs
+
+
+def bits(a: str, b: str) -> int:
+    one, two = (simhash.fingerprint(t.encode().split()) for t in (a, b))
+    return ((one ^ two) & ((1 << 64) - 1)).bit_count()
+
+
+def test_close_prints_propose_what_bands_miss(spark, monkeypatch):
+    """With one band of six minima a fifth of these pairs is not proposed by MinHash; SimHash proposes all within 4 bits."""
+    monkeypatch.setattr(simhash, "bands_for", lambda similarity: 1)
+    pairs = [p for p in edited_pairs(150, 1) if bits(*p) <= 4]
+    assert len(pairs) > 60 and all(jaccard(*p) >= 0.8 for p in pairs)
+    assert all(linked(spark, pairs))
+
+
+def test_every_close_pair_of_prints_meets_in_a_block(spark, monkeypatch):
+    """A cluster of prints round one, blocks of over FEW among them, and prints that are far from all."""
+    rng = np.random.default_rng(14)
+    base = int(rng.integers(-(1 << 62), 1 << 62))
+    prints = [base] + [base ^ sum(1 << int(b) for b in rng.choice(63, int(rng.integers(1, 6)), replace=False)) for _ in range(200)]
+    prints += [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 300)]
+    prints = sorted(set(prints))
+    near = {(i, j) for i, a in enumerate(prints) for j, b in enumerate(prints) if i < j and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4}
+    frame = spark.createDataFrame(list(enumerate(prints)), "node long, fp long")
+    for few in (4, 64):
+        monkeypatch.setattr(simhash, "FEW", few)
+        blocks: dict = {}
+        for r in simhash.close_blocks(frame, len(prints), 4).collect():
+            blocks.setdefault(r.block, set()).add(r.node)
+        met = {(a, b) for block in blocks.values() for a in block for b in block if a < b}
+        assert len(near) > 200 and near <= met
+
+
+def test_same_words_in_other_numbers_are_one_group(spark):
+    """Sets of shingles that are equal though the prints, which count repeats, may differ."""
+    part = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, " ".join([part] * 3)), (2, " ".join([part] * 2)), (3, "other words " + part), (4, " ".join([part] * 2))]
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == got[2] == got[4] == 1
