@@ -11,8 +11,6 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import compress
-from operator import not_
 from struct import pack
 
 # A worker remembers the ids of so many pre-tokens, the frequent ones first met; this changes no result.
@@ -30,7 +28,7 @@ def pretokens(text: str) -> list[str]:
     if not all(parts) or " ".join(map(str.strip, parts)) != text:
         parts = _CUT.split(text)
     first, *rest = parts
-    return [first, *[" " + r for r in rest]]
+    return [first, *map(" ".__add__, rest)]
 
 
 @lru_cache(2)
@@ -49,18 +47,26 @@ def _cache(path: str) -> dict[str, bytes]:
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text, without added special tokens, as little-endian unsigned 32-bit numbers."""
     cache, missing = _cache(path), {}
-    parts = [pretokens(t) for t in texts]
-    for names in parts:
-        missing.update(dict.fromkeys(compress(names, map(not_, map(cache.__contains__, names)))))
+    known = cache.get
+    out, gaps = [], []
+    for text in texts:
+        names = pretokens(text)
+        found = list(map(known, names))
+        try:  # one look-up each: to join says whether all are known
+            out.append(b"".join(found))
+        except TypeError:
+            at = [k for k, f in enumerate(found) if f is None]
+            missing.update((names[k], None) for k in at)
+            gaps.append((len(out), names, found, at))
+            out.append(None)
     encoded = tokenizer(path).encode_batch_fast(list(missing), add_special_tokens=False)
     for name, e in zip(missing, encoded):
         ids = e.ids
         missing[name] = pack(f"<{len(ids)}I", *ids)
     if len(cache) < CACHE:
         cache.update(missing)
-    known = cache.get
-    out = []
-    for names in parts:
-        found = list(map(known, names))
-        out.append(b"".join(found) if None not in found else b"".join([missing[n] if f is None else f for n, f in zip(names, found)]))
+    for i, names, found, at in gaps:
+        for k in at:
+            found[k] = missing[names[k]]
+        out[i] = b"".join(found)
     return out
