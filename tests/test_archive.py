@@ -120,3 +120,6 @@ def test_instants_of_an_hour_may_exceed_a_long(spark, side, price):
     back = spark.createDataFrame(rows, f"year string, month string, day string, hour string, timestamp long, {price} double")
     got = {tuple(r) for r in queries._day_part(back, side).collect()}
     assert got == {("01", "00", 3, 3 << 62, 4.5), ("01", "01", 1, None, None)}
+    fitting = queries._day_part(back.where("timestamp IS NULL OR timestamp < 2").withColumn("month", F.lit("01")), side)
+    assert fitting.schema["timestamps"].dataType.simpleString() == "bigint"
+    assert {tuple(r) for r in fitting.collect()} == {("01", "01", 1, None, None), ("01", "00", 1, 1, 1.0)}
