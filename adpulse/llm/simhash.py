@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, materialize, per_key, row_hash, shingle_hashes, texts, words_of
+from .common import PART, map_batches, materialize, per_key, row_hash, shingle_hashes, texts, words_of
 from .components import components
 
 BITS = 64
@@ -182,7 +182,7 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFr
         row, n, shingle, place = (np.concatenate(c) for c in zip(*out))
         return pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(row)), pa.array(n), pa.array(shingle), pa.array(place)], ["node", "n", "shingle", "place"])
 
-    first = map_batches(members, prefixes, "node long, n long, shingle long, place long")
+    first = map_batches(members, prefixes, "node long, n long, shingle long, place long", PART)
     first = materialize(first.join(nodes, "node"), "prefixes")
     seen.unpersist()
     common = F.ceil((F.col("l.n") + F.col("r.n")) * (similarity / (1 + similarity)) - 1e-9)
@@ -327,7 +327,7 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}, row long", *(f"{c} long" for c in ("node", *key))])
     docs = docs.select("doc_id", "text", (F.col(row) if row else row_hash("doc_id", "text")).alias("row"))
-    marked = materialize(map_batches(texts(docs, "row"), batch, schema), "prints")
+    marked = materialize(map_batches(texts(docs, "row"), batch, schema, PART), "prints")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     nodes = marked.groupBy("node", *key).agg(F.min(order).alias("first"))
     nodes = materialize(nodes, "nodes")
@@ -346,7 +346,7 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = 0.8, row: str | N
     wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("of"))
     chosen = texts(docs, "row").join(wanted, F.col("row") == F.col("of")).select("node", "text")
     chosen = chosen.dropDuplicates(["node"])
-    sets = materialize(map_batches(chosen, shingle_sets, "node long, shingles array<long>"), "sets")
+    sets = materialize(map_batches(chosen, shingle_sets, "node long, shingles array<long>", PART), "sets")
 
     def accept(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.alias("l"), F.col("left") == F.col("l.node")).join(sets.alias("r"), F.col("right") == F.col("r.node"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_crc, map_batches, materialize, texts
+from .common import PART, doc_crc, map_batches, materialize, texts
 
 # Bounds of the sample that the classifier is fitted to; scores cover all texts.
 POSITIVES = 8_192    # confirmed toxic texts
@@ -100,7 +100,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, also: tup
             joined = [sorted(w.decode("utf-8", "replace") for w in features(t)) for t in rows.column(0).to_pylist()]
             return pa.RecordBatch.from_arrays([pa.array(joined, pa.list_(pa.string())), rows.column(1), rows.column(2)], ["words", "confirmed", "drawn"])
 
-        sample = materialize(map_batches(sample, reduce, "words array<string>, confirmed boolean, drawn boolean"), "sample")
+        sample = materialize(map_batches(sample, reduce, "words array<string>, confirmed boolean, drawn boolean", PART), "sample")
         n_p, n_u = (sample.where(c).count() for c in ("confirmed", "drawn"))
         if n_p and n_u:
             seen = sample.select(F.explode("words").alias("word"), "confirmed", "drawn").groupBy("word")
@@ -112,7 +112,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, also: tup
                 found = [[place[w] for w in ws if w in place] for ws in rows.column(0).to_pylist()]
                 return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), rows.column(1), rows.column(2)], ["places", "confirmed", "drawn"])
 
-            got = map_batches(sample, locate, "places array<int>, confirmed boolean, drawn boolean").toPandas()
+            got = map_batches(sample, locate, "places array<int>, confirmed boolean, drawn boolean", PART).toPandas()
             weights, bias = fit_nnpu(got["places"][got["confirmed"]].tolist(), got["places"][got["drawn"]].tolist(), prior, len(words))
     model = spark.sparkContext.broadcast((dict(zip([w.encode() for w in words], weights.tolist())), bias))
 
@@ -127,4 +127,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, also: tup
         "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes"), (doc_crc() % folds == 0).alias("_held"), *also)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = f"doc_id {kinds['doc_id']}, held_out boolean, score double" + "".join(f", `{c}` {kinds[c]}" for c in also)
-    return map_batches(source, score, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return map_batches(source, score, schema, PART).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
