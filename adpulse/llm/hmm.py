@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, islice, repeat
+from math import ceil
 from zlib import crc32
 
 import numpy as np
@@ -78,7 +79,7 @@ def slices(column: pa.Array) -> Iterator[list[np.ndarray]]:
 
 
 def sequences(symbols: list[np.ndarray], group: int = 512, area: int = 1 << 19):
-    """Groups ``(indices, matrix, active)`` of sequences by length: ``matrix[t]`` holds the t-th symbols of the
+    """Groups ``(indices, flat, active)`` of sequences by length: ``flat`` holds, step by step, the t-th symbols of the
     ``active[t]`` sequences that are so long."""
     order = sorted((i for i in range(len(symbols)) if len(symbols[i])), key=lambda i: -len(symbols[i]))
     k = 0
@@ -92,21 +93,34 @@ def sequences(symbols: list[np.ndarray], group: int = 512, area: int = 1 << 19):
         matrix = np.zeros((longest, n), np.uint16)
         for j, i in enumerate(take):
             matrix[:lengths[j], j] = symbols[i]
-        yield take, matrix, np.searchsorted(-lengths, -np.arange(longest), "left")
+        active = np.searchsorted(-lengths, -np.arange(longest), "left")
+        yield take, matrix[np.arange(n) < active[:, None]], active
         k += n
 
 
+def _steps(active: np.ndarray):
+    """``(begin, end, n)`` of each step's symbols in ``flat``."""
+    ends = np.cumsum(active)
+    return list(zip((ends - active).tolist(), ends.tolist(), active.tolist()))
+
+
 def forward(symbols: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
     """Natural log-likelihood of each whole sequence, by the scaled forward recursion in double precision."""
     out = np.zeros(len(symbols))
-    for take, matrix, active in sequences(symbols):
+    start, move, emit = (np.ascontiguousarray(x, np.float64) for x in (start, move, emit))
+    ones = np.ones_like(move)
+    for take, flat, active in sequences(symbols):
         logs = np.zeros(len(take))
-        a = None
-        for t, n in enumerate(active):
-            a = (start if a is None else a[:n] @ move) * emit[matrix[t, :n]]
-            scale = a.sum(1)
-            a /= scale[:, None]
-            logs[:n] += np.log(scale)
+        room = np.empty((4, len(take), len(start)))
+        before = None
+        for t, (begin, end, n) in enumerate(_steps(active)):
+            a, b, total = room[t % 2, :n], room[2, :n], room[3, :n]
+            emit.take(flat[begin:end], 0, b, "clip")
+            np.multiply(start if before is None else np.dot(before[:n], move, a), b, a)
+            np.dot(a, ones, total)  # the sum of a row in each of its columns, so that dividing is one flat pass
+            np.divide(a, total, a)
+            logs[:n] += np.log(total[:, 0])
+            before = a
         out[take] = logs
     return out
 
@@ -120,39 +134,36 @@ class Counts:
         self._seen: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, symbols: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-        start, move, emit = (x.astype(np.float32) for x in (start, move, emit))
-        for _, matrix, active in sequences(symbols):
-            alphas, scales, seen = [], [], []
-            a = None
-            for t, n in enumerate(active):
-                b = emit[matrix[t, :n]]
-                a = (start if a is None else a[:n] @ move) * b
-                scale = a.sum(1, keepdims=True)
-                a = a / scale
-                alphas.append(a)
-                scales.append(scale)
-                seen.append(b)
-            self.loglik += float(sum(np.log(s).sum() for s in scales))
-            beta = np.ones_like(alphas[-1])
-            posts, ahead = [alphas[-1]], []
-            for t in range(len(active) - 2, -1, -1):
-                weighted = seen[t + 1] * beta / scales[t + 1]
-                ahead.append(weighted)
-                back = weighted @ move.T
-                if active[t] > active[t + 1]:
-                    beta = np.ones_like(alphas[t])
-                    beta[:active[t + 1]] = back
-                else:
-                    beta = back
-                posts.append(alphas[t] * beta)
-            if ahead:
-                before = np.concatenate([a[:n] for a, n in zip(alphas[-2::-1], active[:0:-1])])
-                self.move += move * (before.T @ np.concatenate(ahead))
-            self.start += posts[-1].sum(0)
-            flat = np.concatenate([matrix[t, :n] for t, n in enumerate(active)])
-            self._seen.append((flat, np.concatenate(posts[::-1])))
+        start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (start, move, emit))
+        back, ones, moved = np.ascontiguousarray(move.T), np.ones_like(move), np.zeros(move.shape)
+        for take, flat, active in sequences(symbols):
+            steps = _steps(active)
+            ahead = emit.take(flat, 0)  # first what a state emits, then that over the scale, at last that times beta
+            alphas, scales = np.empty_like(ahead), np.empty(len(flat), np.float32)
+            room = np.empty((len(take), len(start)), np.float32)
+            before = None
+            for begin, end, n in steps:
+                a, b, total = alphas[begin:end], ahead[begin:end], room[:n]
+                np.multiply(start if before is None else np.dot(before[:n], move, a), b, a)
+                np.dot(a, ones, total)  # the sum of a row in each of its columns, so that dividing is one flat pass
+                np.divide(a, total, a)
+                np.divide(b, total, b)
+                scales[begin:end] = total[:, 0]
+                before = a
+            self.loglik += float(np.log(scales).sum(dtype=np.float64))
+            # where a sequence ends beta is one; alphas become the shares of the states
+            for (begin, _, _), (of, end, n) in zip(steps[-2::-1], steps[:0:-1]):
+                a, weighted, beta = alphas[begin:begin + n], ahead[of:end], room[:n]
+                moved += np.dot(a.T, weighted)
+                np.dot(weighted, back, beta)
+                np.multiply(a, beta, a)
+                b = ahead[begin:begin + n]
+                np.multiply(b, beta, b)
+            self.start += alphas[:active[0]].sum(0)
+            self._seen.append((flat, alphas))
             if sum(len(f) for f, _ in self._seen) > 1 << 19:
                 self._settle()
+        self.move += move * moved
 
     def _settle(self) -> None:
         if self._seen:
@@ -194,6 +205,7 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
     last of ``rounds`` reads every training text, further such rounds follow until the likelihood settles.
     """
     spark = encoded.sparkSession
+    tasks = encoded.rdd.getNumPartitions()
     rng = np.random.default_rng(seed)
     emit = overall[:, None] * np.exp(rng.normal(0, 1, (len(overall), states)))
     emit /= emit.sum(0)
@@ -212,6 +224,8 @@ def baum_welch(encoded: DataFrame, overall: np.ndarray, rounds=ROUNDS, states: i
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
 
         part = encoded.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("symbols")
+        # a step costs much the same for few sequences as for many, so a small part is read by fewer tasks
+        part = part.coalesce(max(1, min(tasks, ceil(2 * share * tasks))))
         partial = part.mapInArrow(expect, "block int, data binary")
         partial = partial.withColumn("some", F.floor(F.spark_partition_id() / 64))
         got = {r.block: r.data for r in _summed(_summed(partial, "block", "some"), "block").collect()}
