@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialize, texts
+from .common import PART, map_batches, materialize, texts
 from .pretokens import encode
 
 CAPACITY = 2048
@@ -25,31 +25,28 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CA
     """
     tail = np.array([end_id], "<u4").tobytes()
 
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                doc, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(encode([b.decode() for b in part.column(1).to_pylist()], path)):
-                    ids += tail
-                    n = len(ids) // 4
-                    cuts = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        doc.append(i)
-                        piece.append(k)
-                        start.append(a)
-                        length.append(b - a)
-                        crc.append(zlib.crc32(ids[4 * a:4 * b]))
-                take = pa.array(doc, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(2).take(take), part.column(0).take(take), pa.array(piece, pa.int32()),
-                     *(pa.array(x, pa.int64()) for x in (start, length, crc))],
-                    ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
+    def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
+        doc, piece, start, length, crc = [], [], [], [], []
+        for i, ids in enumerate(encode([b.decode() for b in rows.column(1).to_pylist()], path)):
+            ids += tail
+            n = len(ids) // 4
+            cuts = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                doc.append(i)
+                piece.append(k)
+                start.append(a)
+                length.append(b - a)
+                crc.append(zlib.crc32(ids[4 * a:4 * b]))
+        take = pa.array(doc, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [rows.column(2).take(take), rows.column(0).take(take), pa.array(piece, pa.int32()),
+             *(pa.array(x, pa.int64()) for x in (start, length, crc))],
+            ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = texts(docs).withColumn("row", F.monotonically_increasing_id())
     schema = f"row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return source.mapInArrow(run, schema)
+    return map_batches(source, cut, schema, PART)
 
 
 def best_fit_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

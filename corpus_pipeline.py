@@ -11,7 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adpulse.llm import mixing, packing, simhash, suffix, toxicity
-from adpulse.llm.common import delete_folders, materialize, recorded, row_hash
+from adpulse.llm.common import delete_folders, materialize, recorded, row_hash, small_batches
 from adpulse.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,10 +22,14 @@ _FOLDERS: list[str] = []
 
 
 def _stage(function):
-    """Delete what the stage before left in shared storage, since its result has been written, and note anew."""
+    """Delete what the stage before left in shared storage, since its result has been written, and note anew.
+
+    The session's batches for Python become small, as :func:`small_batches` says, also for what runs after the call.
+    """
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
         delete_folders(spark, _FOLDERS)
         with recorded(_FOLDERS):
             return function(spark, docs, sf_dir)
