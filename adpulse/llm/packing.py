@@ -10,24 +10,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import PART, map_batches, materialize, texts
-from .pretokens import encode
+from .pretokens import CACHE, encode
 
 CAPACITY = 2048
 # Rows of one length that are ranked in one task.
 SLICE = 20_000
 
 
-def token_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY, remembered: int = CACHE) -> DataFrame:
     """``(row, doc_id, piece, start, length, ids_crc32)``: each document's ids and an end, cut if too long.
 
     A document longer than ``capacity`` is cut into full pieces but for the first, which takes the rest.
-    ``row`` tells repeated rows of one id apart.
+    ``row`` tells repeated rows of one id apart. A worker remembers the ids of ``remembered`` pre-tokens.
     """
     tail = np.array([end_id], "<u4").tobytes()
 
     def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
         doc, piece, start, length, crc = [], [], [], [], []
-        for i, ids in enumerate(encode([b.decode() for b in rows.column(1).to_pylist()], path)):
+        for i, ids in enumerate(encode([b.decode() for b in rows.column(1).to_pylist()], path, remembered)):
             ids += tail
             n = len(ids) // 4
             cuts = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
@@ -95,16 +95,17 @@ def best_fit_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return plan
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY, remembered: int = CACHE) -> DataFrame:
     """Token pieces of all ``docs`` with the sequence and the offset each is packed at.
 
     ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``. Null and empty texts are the end
     token alone; very long texts are many pieces; repeated rows are packed once each; equal lengths share
     slots by rank in an order by hash and id. An empty table gives an empty result. Other columns are
-    ignored. Only the histogram of at most ``capacity`` lengths reaches the driver.
+    ignored. Only the histogram of at most ``capacity`` lengths reaches the driver. ``remembered`` pre-tokens a worker
+    keeps the ids of, which changes no result.
     """
     spark = docs.sparkSession
-    pieces = token_pieces(docs, path, end_id, capacity)
+    pieces = token_pieces(docs, path, end_id, capacity, remembered)
     pieces = materialize(pieces.withColumn("hash", F.xxhash64("row", "piece")), "pieces")
     histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = best_fit_plan(histogram, capacity)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import islice
 from struct import pack
 
 # A worker remembers the ids of so many pre-tokens, the frequent ones first met; this changes no result.
@@ -46,8 +47,11 @@ def _cache(path: str) -> dict[str, bytes]:
     return {}
 
 
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text, without added special tokens, as little-endian unsigned 32-bit numbers."""
+def encode(texts: list[str], path: str, most: int = CACHE) -> list[bytes]:
+    """Ids of each text, without added special tokens, as little-endian unsigned 32-bit numbers.
+
+    No pre-token is added to the remembered ones once there are ``most``.
+    """
     cache, missing = _cache(path), {}
     known = cache.get
     out, gaps = [], []
@@ -67,8 +71,7 @@ def encode(texts: list[str], path: str) -> list[bytes]:
         for name, e in zip(few, tokenizer(path).encode_batch_fast(few, add_special_tokens=False)):
             ids = e.ids
             missing[name] = pack(f"<{len(ids)}I", *ids)
-    if len(cache) < CACHE:
-        cache.update(missing)
+    cache.update(islice(missing.items(), max(0, most - len(cache))))
     for i, names, found, at in gaps:
         for k in at:
             found[k] = missing[names[k]]

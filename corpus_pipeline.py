@@ -16,6 +16,7 @@ from adpulse.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 PASSAGE_BYTES, PASSAGE_WORDS = 200, 51
+REMEMBERED = 400_000  # pre-tokens a worker keeps the ids of, also while other stages need the memory
 
 
 _FOLDERS: list[str] = []
@@ -80,7 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents and where each is packed."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remembered=REMEMBERED)
 
 
 STAGES = [

@@ -50,3 +50,16 @@ def test_the_tokenizer_gets_few_pretokens_at_a_time(monkeypatch):
     want = [e.ids for e in real.encode_batch(texts, add_special_tokens=False)]
     assert [[int.from_bytes(b[i:i + 4], "little") for i in range(0, len(b), 4)] for b in pretokens.encode(texts, path)] == want
     assert sum(asked) > 4_096 and max(asked) <= 4_096
+
+
+def test_no_more_pretokens_are_remembered_than_asked_for(monkeypatch):
+    path, kept = tokenizer_path(), {}
+    monkeypatch.setattr(pretokens, "_cache", lambda _: kept)
+    texts = [" ".join(f"item{i * k}" for i in range(500)) for k in (1, 3, 7)]
+    want = [e.ids for e in pretokens.tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    for part in ([0], [1, 2], [0, 1, 2]):
+        found = pretokens.encode([texts[k] for k in part], path, 700)
+        assert [len(b) // 4 for b in found] == [len(want[k]) for k in part]
+        assert [[int.from_bytes(b[i:i + 4], "little") for i in range(0, len(b), 4)] for b in found] == [want[k] for k in part]
+        assert len(kept) <= 700
+    assert len(kept) == 700
